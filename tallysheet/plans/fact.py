@@ -77,3 +77,12 @@ def intermediate_models(s: Staged, rules: Rules = DEFAULT_RULES) -> dict[str, Da
         "int_sales_calculated": calculated,
         "int_sales_breakdown": breakdown(branch(calculated, rules)),
     }
+
+
+def models_to_check(s: Staged, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
+    """The same models for the checks. Every one from the account join on has the same rows, and
+    the last has all the columns, so the checks read that one instead of each in turn."""
+    accounts = resolve_account(s.sales, s.clients, rules)
+    last = priced_sales(s, rules)
+    later = ("gm", "enriched", "prices", "calculated", "breakdown")
+    return {"int_sales_accounts": accounts} | {f"int_sales_{name}": last for name in later}
