@@ -41,13 +41,8 @@ def _account_master(clients: DataFrame, sellers: DataFrame, rules: Rules) -> Dat
         F.col("es_gm").alias("cliente_es_gm"),
         text.alias("_discount_text"),
     )
-    return lookup(
-        master,
-        names,
-        F.col("codigo_vendedor_cliente") == F.col("_seller"),
-        "left",
-        rules.broadcast_rows,
-    ).drop("_seller")
+    seller_of = F.col("codigo_vendedor_cliente") == F.col("_seller")
+    return master.join(names, seller_of, "left").drop("_seller")
 
 
 def _flag_gm(rows: DataFrame, rules: Rules) -> DataFrame:
@@ -85,6 +80,6 @@ def attach_accounts(
     """
     own = clients.select("codigo_cliente", "cuenta_principal_codigo").withColumns(_resolution())
     master = _account_master(clients, sellers, rules)
-    accounts = lookup(own, master, ["codigo_cuenta_resuelta"], "inner", rules.broadcast_rows)
+    accounts = own.join(master, "codigo_cuenta_resuelta")
     rows = lookup(sales, accounts, ["codigo_cliente"], "inner", rules.broadcast_rows)
     return _flag_gm(rows, rules)

@@ -24,11 +24,13 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallysheet.operators.latest import nulls_last_key
-
 DIRECTIONS = ("forward", "backward")
 
 
+def _present(columns: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def _changes(
     right: DataFrame,
     by: Sequence[str],
@@ -38,12 +40,16 @@ def _changes(
 ) -> DataFrame:
     """Right side reduced to one row per key and instant, packed as (by.., _t, _hit)."""
     hit = F.struct(F.col(right_ts).alias("ts"), *values)
-    usable = reduce(and_, [F.col(c).isNotNull() for c in (*by, right_ts)])
-    return (
-        right.where(usable)
+    # Ascending by the tie-break columns, nulls after all values.
+    rank = F.struct(*[part for c in tie_break for part in (F.col(c).isNull(), F.col(c))])
+    per_instant = (
+        right.where(_present(by))
         .groupBy(*by, F.col(right_ts).alias("_t"))
-        .agg(F.min_by(hit, nulls_last_key(tie_break)).alias("_hit"))
+        .agg(F.min_by(hit, rank).alias("_hit"))
     )
+    # Tested on the packed value: a filter on the grouping key would sink into the input and keep
+    # its shuffle from being shared with other uses of the same history.
+    return per_instant.where(F.col("_hit")["ts"].isNotNull())
 
 
 def _check(direction: str) -> bool:
@@ -84,8 +90,7 @@ def asof_join(
     changes = _changes(right, by, right_ts, values, tie_break or values)
     hit_type = changes.schema["_hit"].dataType
 
-    known = reduce(and_, [F.col(c).isNotNull() for c in (*by, left_ts)])
-    instants = left.where(known).select(*by, F.col(left_ts).alias("_t")).distinct()
+    instants = left.where(_present([*by, left_ts])).select(*by, F.col(left_ts).alias("_t")).distinct()
     events = instants.select(
         *by, "_t", F.lit(0).alias("_side"), F.lit(None).cast(hit_type).alias("_hit")
     ).unionByName(changes.select(*by, "_t", F.lit(1).alias("_side"), "_hit"))

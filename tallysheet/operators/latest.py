@@ -8,32 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def nulls_last_key(columns: Sequence[str]) -> Column:
-    """Ordering key for min: ascending by the columns, nulls after all values."""
-    return F.struct(*[part for c in columns for part in (F.col(c).isNull(), F.col(c))])
-
-
 def latest_by(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     values: Sequence[str],
-    tie_break: Sequence[str] | None = None,
+    prefer: Sequence[Column] | None = None,
 ) -> DataFrame:
     """For each key the values of its latest row, a null ``order`` counting as latest of all.
 
-    Rows that tie on ``order`` give the one lowest in ``tie_break`` (default: ``values``).
+    Among rows that tie on ``order`` the one highest in ``prefer`` wins; without it, which must
+    be numeric values then, the one lowest in ``values``. Nulls lose.
     """
-    latest = F.max(F.struct(F.col(order).isNull().alias("missing"), F.col(order).alias("at")))
-    packed = F.struct(*values)
-    # Lowest tie-break within each (key, instant) first, then the latest instant of each key.
-    per_instant = df.groupBy(*keys, order).agg(
-        F.min_by(packed, nulls_last_key(tie_break or values)).alias("_v")
-    )
-    at = F.struct(F.col(order).isNull(), F.col(order))
-    picked = per_instant.groupBy(*keys).agg(
-        F.max_by("_v", at).alias("_v"), latest.alias("_latest")
-    )
-    return picked.select(
-        *keys, F.col("_latest")["at"].alias(order), *[F.col("_v")[v].alias(v) for v in values]
-    )
+    prefer = prefer or [-F.col(v) for v in values]
+    rank = F.struct(F.col(order).isNull(), F.col(order), *prefer)
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(order, *values), rank).alias("_row"))
+    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in (order, *values)])

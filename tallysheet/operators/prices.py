@@ -14,8 +14,8 @@ from tallysheet.operators.latest import latest_by
 from tallysheet.operators.lookup import lookup
 
 # A price belongs to a voucher's article, not to a line: all lines of the key share the price
-# found for the earliest time among them.
-PRICE_KEY = ("fuente", "numero_comprobante", "tipo_comprobante", "codigo_articulo")
+# found for the earliest time among them. The most selective part leads, as joins sort by it.
+PRICE_KEY = ("numero_comprobante", "codigo_articulo", "tipo_comprobante", "fuente")
 
 
 def current_prices(history: DataFrame) -> DataFrame:
@@ -40,7 +40,15 @@ def price_at_sale(
     Everything is worked out on a narrow table of one row per price key, fallback included. The
     sales themselves are shuffled once, for the join that brings the result back.
     """
-    firsts = sales.groupBy(*PRICE_KEY).agg(F.min("fecha_comprobante").alias("_first_sale"))
+    # Without an article there is neither history nor fallback. Leaving these rows out here gives
+    # all uses of the two inputs the same filter, so that their shuffles are shared.
+    has_article = F.col("codigo_articulo").isNotNull()
+    history = history.where(has_article)
+    firsts = (
+        sales.where(has_article)
+        .groupBy(*PRICE_KEY)
+        .agg(F.min("fecha_comprobante").alias("_first_sale"))
+    )
     join = asof_join_small if small_history else asof_join
     matched = join(
         firsts,

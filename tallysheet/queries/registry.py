@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DataType, DecimalType
 
 from tallysheet.queries.oracle import oracle
 
@@ -17,15 +17,18 @@ _ORACLES: dict[str, str] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, so that both engines hand out the same type."""
-    return df.select(
-        [
-            F.col(f.name).cast("decimal(38,6)").cast("double").alias(f.name)
-            if isinstance(f.dataType, DecimalType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    """Decimals as doubles, so that both engines hand out the same type. Products are cut to six
+    fraction digits first: beyond that the digits no longer fit a double exactly."""
+
+    def shown(name: str, dtype: DataType) -> Column:
+        c = F.col(name)
+        if not isinstance(dtype, DecimalType):
+            return c
+        if dtype.scale > 6:
+            c = c.cast("decimal(38,6)")
+        return c.cast("double").alias(name)
+
+    return df.select([shown(f.name, f.dataType) for f in df.schema.fields])
 
 
 def query(name: str, sql: str | None) -> Callable[[Query], Query]:

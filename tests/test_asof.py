@@ -1,0 +1,169 @@
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallysheet.operators.asof import asof_join, asof_join_small
+from tallysheet.operators.prices import price_at_sale
+from tests.conftest import rows
+
+LEFT = "id int, k string, t timestamp_ntz"
+RIGHT = "k string, ts timestamp_ntz, p double"
+T0 = datetime(2024, 1, 1)
+
+
+def brute(left, right, forward, inclusive):
+    out = []
+    for i, k, t in left:
+        best = None
+        for rk, rt, p in right:
+            if k is None or t is None or rk != k or rt is None:
+                continue
+            if rt == t and not inclusive:
+                continue
+            if (rt < t) if forward else (rt > t):
+                continue
+            distance = abs(rt - t)
+            rank = (distance, p is None, p if p is not None else 0)
+            if best is None or rank < best[0]:
+                best = (rank, p, rt)
+        out.append((i, k, t, best and best[1], best and best[2]))
+    return out
+
+
+def random_case(seed):
+    rng = random.Random(seed)
+
+    def instant():
+        # Few distinct instants over a few days, some on midnight: ties, exact hits, empty days.
+        return T0 + timedelta(hours=rng.choice([0, 0, 6, 12, 23]), days=rng.randrange(12))
+
+    # A third of the left rows sit on one key, and a tenth on one instant of it.
+    keys = ["hot"] * 3 + ["a", "b", "c", "no history", None]
+    left = [(i, rng.choice(keys), None if rng.random() < 0.05 else instant()) for i in range(300)]
+    left += [(300 + i, "hot", T0 + timedelta(days=3)) for i in range(40)]
+    right_keys = ["hot", "a", "b", "c", "only right", None]
+    right = [
+        (rng.choice(right_keys), None if rng.random() < 0.05 else instant(), rng.choice([None, 1.0, 2.0, 3.0]))
+        for _ in range(60)
+    ]
+    return left, right
+
+
+@pytest.mark.parametrize("join", [asof_join, asof_join_small])
+@pytest.mark.parametrize("direction", ["forward", "backward"])
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_against_brute_force(spark, join, direction, inclusive):
+    for seed in range(3):
+        left, right = random_case(seed)
+        got = join(
+            spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ["k"], "t", "ts", ["p"],
+            direction=direction, inclusive=inclusive,
+        )
+        assert got.columns == ["id", "k", "t", "p", "matched_ts"]
+        expected = brute(left, right, direction == "forward", inclusive)
+        assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_other_slices_give_the_same(spark):
+    left, right = random_case(9)
+    frames = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    by_month = asof_join(*frames, ["k"], "t", "ts", ["p"], slice_of=lambda t: F.trunc(F.to_date(t), "month"))
+    by_hour = asof_join(*frames, ["k"], "t", "ts", ["p"], slice_of=lambda t: F.date_format(t, "yyyyMMddHH"))
+    assert rows(by_month) == rows(by_hour) == rows(asof_join(*frames, ["k"], "t", "ts", ["p"]))
+
+
+def test_copies_of_a_row_are_all_kept(spark):
+    left = spark.createDataFrame([(1, "a", T0)] * 50, LEFT)
+    right = spark.createDataFrame([("a", T0 + timedelta(days=40), 7.0)], RIGHT)
+    got = asof_join(left, right, ["k"], "t", "ts", ["p"])
+    assert got.where("p = 7").count() == 50
+
+
+def test_small_form_falls_back_when_the_history_is_not_small(spark):
+    left, right = random_case(4)
+    frames = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    plain = rows(asof_join_small(*frames, ["k"], "t", "ts", ["p"]))
+    for limits in ({"max_rows": 3}, {"max_per_key": 1}):
+        bounded = asof_join_small(*frames, ["k"], "t", "ts", ["p"], **limits)
+        assert "Window" in bounded._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(bounded) == plain
+
+
+def test_unknown_direction(spark):
+    left, right = random_case(1)
+    with pytest.raises(ValueError):
+        asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ["k"], "t", "ts", ["p"], direction="up")
+
+
+# --- price at sale ---------------------------------------------------------------------------
+
+SALE = "fuente string, numero_comprobante bigint, tipo_comprobante string, codigo_articulo string, fecha_comprobante timestamp_ntz, line int"
+HISTORY = "codigo_articulo string, precio_actual_proveedor decimal(18,4), fecha_modificacion timestamp_ntz, precio_cambio decimal(18,4)"
+
+
+def day(n):
+    return T0 + timedelta(days=n)
+
+
+def priced(spark, sales, history, **options):
+    d = lambda v: None if v is None else Decimal(v)
+    history = [(a, d(cur), t, d(p)) for a, cur, t, p in history]
+    got = price_at_sale(spark.createDataFrame(sales, SALE), spark.createDataFrame(history, HISTORY), **options)
+    return {
+        r.line: (r.precio_proveedor_vigente, r.precio_vigente_desde, r.tiene_precio_historico) for r in got.collect()
+    }
+
+
+@pytest.mark.parametrize("small_history", [False, True])
+def test_price_cases(spark, small_history):
+    history = [
+        ("early", 9, day(1), 5),
+        ("exact", 9, day(10), 6), ("exact", 9, day(11), 7),
+        ("two", 9, day(12), 8), ("two", 9, day(14), 9),
+        ("tie", 9, day(12), 8), ("tie", 4, day(12), 3),
+        ("blank", 9, day(12), None), ("blank", 2, day(13), 1),
+        ("dup", 9, day(10), 6), ("dup", 9, day(20), 7),
+        (None, 9, day(12), 8),
+    ]
+    sales = [
+        ("S", 1, "FA", "none", day(10), 1),
+        ("S", 1, "FA", "early", day(10), 2),
+        ("S", 1, "FA", "exact", day(10), 3),
+        ("S", 1, "FA", "two", day(10), 4),
+        ("S", 1, "FA", "tie", day(10), 5),
+        ("S", 1, "FA", "blank", day(10), 6),
+        # One key, two times: both lines take the price of the earlier time.
+        ("S", 1, "FA", "dup", day(15), 7),
+        ("S", 1, "FA", "dup", day(9), 8),
+        ("T", 1, "FA", "dup", day(15), 9),
+        # Null parts of the key: fallback only.
+        (None, 1, "FA", "two", day(10), 10),
+        ("S", None, "FA", "two", day(10), 11),
+        ("S", 1, "FA", None, day(10), 12),
+        ("S", 2, "FA", "two", None, 13),
+    ]
+    expected = {
+        1: (None, None, False),
+        2: (Decimal(9), None, True),
+        3: (Decimal(6), day(10), True),
+        4: (Decimal(8), day(12), True),
+        5: (Decimal(3), day(12), True),
+        6: (Decimal(2), day(12), True),
+        7: (Decimal(6), day(10), True),
+        8: (Decimal(6), day(10), True),
+        9: (Decimal(7), day(20), True),
+        10: (Decimal(9), None, True),
+        11: (Decimal(9), None, True),
+        12: (None, None, False),
+        13: (Decimal(9), None, True),
+    }
+    assert priced(spark, sales, history, small_history=small_history) == expected
+
+
+def test_backward_price(spark):
+    history = [("a", 9, day(1), 5), ("a", 9, day(20), 6)]
+    got = priced(spark, [("S", 1, "FA", "a", day(10), 1)], history, direction="backward")
+    assert got == {1: (Decimal(5), day(1), True)}
