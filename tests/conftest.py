@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .config("spark.checkpoint.dir", str(root / "shared"))
+        .config("spark.sql.maxMetadataStringLength", "2000")
+        .config("spark.sql.debug.maxToStringFields", "200")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -1,0 +1,142 @@
+"""Plan shape: what is shuffled, pushed down, pruned and split."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallysheet.config import SALES_SOURCES, Rules
+from tallysheet.operators.asof import asof_join
+from tallysheet.operators.lookup import fits, lookup
+from tallysheet.operators.prices import price_at_sale
+from tallysheet.plans.fact import build_fact
+from tallysheet.queries import fixtures as fx
+from tallysheet.scratch import scratch_dir
+from tallysheet.sinks.tables import write_mart
+from tallysheet.sources.extract import Window, extract_sales
+
+SF = "/root/testdata/sf0.001"
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """Run the plan and return it as adaptive execution left it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    text = plan.toString()
+    return text[: text.index("== Initial Plan ==")]
+
+
+@pytest.fixture
+def small_partitions(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_facts(spark):
+    """A third of the rows on one key."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).cast("string")
+    return spark.range(0, 200_000, 1, 8).select("id", key.alias("k"), F.sha1(F.col("id").cast("string")).alias("pad"))
+
+
+def test_large_dimension_takes_the_shuffle_join_and_the_hot_key_is_split(spark, small_partitions):
+    dim = spark.range(5000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    assert not fits(dim, 4999) and fits(dim, 5000)
+    for how in ("left", "inner"):
+        joined = lookup(hot_facts(spark), dim, ["k"], how, max_rows=100)
+        assert "SortMergeJoin(skew=true)" in final_plan(joined)
+        assert joined.count() == 200_000
+    assert "Exchange hashpartitioning" not in plan_of(lookup(hot_facts(spark), dim, ["k"]))
+
+
+def test_hot_instant_of_the_asof_join_is_split(spark, small_partitions):
+    left = hot_facts(spark).withColumn(
+        "t", F.when(F.col("k") == "7", F.lit("2024-01-01 10:00:00")).otherwise(F.lit("2024-01-02 10:00:00")).cast("timestamp_ntz")
+    )
+    right = spark.range(5000).select(
+        F.col("id").cast("string").alias("k"), F.lit("2024-01-05 00:00:00").cast("timestamp_ntz").alias("ts"), F.col("id").alias("p")
+    )
+    joined = asof_join(left, right, ["k"], "t", "ts", ["p"])
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
+    assert joined.where("p = cast(k as bigint)").count() == 200_000
+
+
+def test_window_filter_and_columns_reach_the_scan(spark):
+    header, body = (fx.source(spark, SF, n).drop("db", "tipo_consumo") for n in ("src_header", "src_body"))
+    path = scratch_dir(spark, "vouchers")
+    header.write.parquet(f"{path}/header")
+    body.write.parquet(f"{path}/body")
+    stored = [spark.read.parquet(f"{path}/{n}") for n in ("header", "body")]
+    window = Window("1997-03-01 00:00:00", "1997-04-01 00:00:00")
+    sales = extract_sales(*stored, SALES_SOURCES[0], window).select("codigo_articulo", "cantidad_articulo")
+    plan = plan_of(sales)
+    assert "GreaterThanOrEqual(fechacomprobante,1997-03-01)" in plan
+    assert "LessThanOrEqual(fechacomprobante,1997-04-01)" in plan
+    assert "In(tipocomprobante" in plan and "EqualTo(anulada,0)" in plan
+    assert "In(codigoarticulo" in plan
+    assert "razonsocial" not in plan and "descripcion" not in plan
+
+
+def staged_on_disk(spark):
+    tables = fx.staged_tables(spark, SF)
+    path = scratch_dir(spark, "staged")
+    for name, df in vars(tables).items():
+        df.write.parquet(f"{path}/{name}")
+    return type(tables)(**{n: spark.read.parquet(f"{path}/{n}") for n in vars(tables)})
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return staged_on_disk(spark)
+
+
+def test_fact_moves_the_sales_once(spark, tables):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(build_fact(tables, fx.RULES))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # The sale amount is in the wide rows only; it passes one exchange, below the price join.
+    wide = [line for line in plan.splitlines() if "Project" in line and "precio_total_articulo" in line]
+    assert wide
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "/sales]" in line]
+    assert sum("precio_total_articulo" in line for line in scans) == 1
+    narrow = [line for line in scans if "precio_total_articulo" not in line]
+    assert all("descripcion_articulo" not in line and "razon_social" not in line for line in narrow)
+
+
+def test_uses_of_one_input_share_their_shuffle(spark, tables):
+    priced = price_at_sale(tables.sales, tables.price_history, Rules())
+    plan = final_plan(priced)
+    # Wide rows, narrow keys, changes and current prices: one scan each.
+    assert plan.count("FileScan parquet") == 4
+    assert plan.count("ReusedExchange") >= 3
+
+
+def test_adaptive_execution_splits_a_hot_partition_on_write(spark, small_partitions):
+    df = hot_facts(spark).withColumn("year_month", F.when(F.col("id") % 10 == 0, "2024-02").otherwise("2024-01"))
+    name = "hot_mart_fct_sales"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write_mart(df, name)
+    files = spark.table(name).groupBy("year_month", F.input_file_name()).count().collect()
+    months = [r.year_month for r in files]
+    # The large month is cut into many files; the small one is not scattered over all tasks.
+    assert months.count("2024-01") > 4
+    assert sum(r["count"] for r in files) == 200_000
+    assert max(r["count"] for r in files) < 60_000
