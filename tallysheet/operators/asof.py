@@ -10,7 +10,7 @@ key, carries a large share of the rows:
   by the number of rows.
 * A slice may hold no match for its last instants. The match then is the first right row of the
   next slice that has one; it is found on a table of one row per key and slice and fed into
-  the window as an extra right row.
+  the window as an extra right row, laid out like the others so that the union moves nothing.
 * The answers return to the left rows through an equi-join on (key, instant). The answer side is
   unique there, and adaptive execution can split hot left partitions.
 """
@@ -94,7 +94,8 @@ def asof_join(
     events = instants.select(
         *by, "_t", F.lit(0).alias("_side"), F.lit(None).cast(hit_type).alias("_hit")
     ).unionByName(changes.select(*by, "_t", F.lit(1).alias("_side"), "_hit"))
-    events = events.withColumn("_slice", slice_of("_t"))
+    # Shuffled once for both uses below: neither the aggregate nor the window adds an exchange.
+    events = events.withColumn("_slice", slice_of("_t")).repartition(*by, "_slice")
 
     # One row per key and slice: does the left side need it, and its outermost change.
     edge = F.min_by("_hit", F.when(F.col("_side") == 1, F.col("_t")))
@@ -109,6 +110,7 @@ def asof_join(
         cells.withColumn("_hit", F.last("_edge", ignorenulls=True).over(beyond))
         .where(F.col("_wanted") & F.col("_hit").isNotNull())
         .select(*by, F.col("_hit")["ts"].alias("_t"), F.lit(1).alias("_side"), "_hit", "_slice")
+        .repartition(*by, "_slice")
     )
 
     time = F.col("_t").desc() if forward else F.col("_t").asc()

@@ -11,8 +11,9 @@ from tallysheet.config import DEFAULT_RULES
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Reads no further than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows. A plain count: it is combined per partition,
+    whereas a limit would first bring that many rows of every partition into one task."""
+    return df.count() <= max_rows
 
 
 def lookup(

@@ -19,7 +19,9 @@ from tallysheet.sources.extract import (
 from tallysheet.sources.sales import read_all_sales
 from tallysheet.sources.tables import encode_nested, text_null_policy
 
-YEAR = ("1997-01-01 00:00:00", "1998-01-01 00:00:00")
+START, END = "1997-01-01 00:00:00", "1998-01-01 00:00:00"
+# The window ends at the time of the last voucher, so that the end instant makes a difference.
+_LAST = "(select max(fecha_comprobante) from raw_sales)"
 
 
 @query("extract_sales", "select * from raw_sales")
@@ -27,20 +29,25 @@ def _extract_sales(spark, sf_dir):
     return raw_sales(spark, sf_dir)
 
 
+def _up_to_last(spark, sf_dir, closed):
+    last = raw_sales(spark, sf_dir).agg(F.max("fecha_comprobante")).first()[0]
+    return raw_sales(spark, sf_dir, Window(START, last, closed))
+
+
 @query(
     "extract_sales_window_halfopen",
-    f"select * from raw_sales where fecha_comprobante >= '{YEAR[0]}' and fecha_comprobante < '{YEAR[1]}'",
+    f"select * from raw_sales where fecha_comprobante >= '{START}' and fecha_comprobante < {_LAST}",
 )
 def _halfopen(spark, sf_dir):
-    return raw_sales(spark, sf_dir, Window(*YEAR))
+    return _up_to_last(spark, sf_dir, "left")
 
 
 @query(
     "extract_sales_window_closed",
-    f"select * from raw_sales where fecha_comprobante between '{YEAR[0]}' and '{YEAR[1]}'",
+    f"select * from raw_sales where fecha_comprobante >= '{START}' and fecha_comprobante <= {_LAST}",
 )
 def _closed(spark, sf_dir):
-    return raw_sales(spark, sf_dir, Window(*YEAR, closed="both"))
+    return _up_to_last(spark, sf_dir, "both")
 
 
 @query("source_union", "select * from raw_sales")
@@ -74,13 +81,13 @@ def _prices(spark, sf_dir):
 
 @query(
     "extract_prices_window",
-    f"select * from raw_prices where fechamodificacion >= '{YEAR[0]}' and fechamodificacion < '{YEAR[1]}'",
+    f"select * from raw_prices where fechamodificacion >= '{START}' and fechamodificacion < '{END}'",
 )
 def _prices_window(spark, sf_dir):
     # Upper-case names and newest first, as the price database hands them out.
     parts = [source(spark, sf_dir, n) for n in ("src_catalogue", "src_supplied", "src_changes")]
     upper = [df.toDF(*[c.upper() for c in df.columns]) for df in parts]
-    return extract_prices(*upper, window=Window(*YEAR), newest_first=True)
+    return extract_prices(*upper, window=Window(START, END), newest_first=True)
 
 
 @query("dim_rubros_default", "select * from raw_rubros")
@@ -111,16 +118,15 @@ def _land(spark, resources, order_key, name):
     A page holds the keys of one block of the page size; the last one names no successor.
     """
     numbered = resources.withColumn("page", (F.expr(f"{order_key} div 250") + 1).cast("int"))
-    last = numbered.agg(F.max("page").alias("last"))
+    last = numbered.agg(F.max("page")).first()[0]
     docs = (
         numbered.groupBy("page")
         .agg(F.collect_list(F.struct("id", "attributes")).alias("data"))
-        .join(F.broadcast(last), F.col("page") <= F.col("last"))
         .select(
             "page",
             "data",
             F.struct(
-                F.when(F.col("page") < F.col("last"), F.concat(F.lit("/v1?page="), F.col("page") + 1))
+                F.when(F.col("page") < last, F.concat(F.lit("/v1?page="), F.col("page") + 1))
                 .alias("next")
             ).alias("links"),
         )

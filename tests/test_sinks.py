@@ -14,6 +14,7 @@ from tallysheet.plans.incremental import (
     month_window,
     month_windows,
     months_between,
+    months_to_load,
     refresh,
 )
 from tallysheet.quality.checks import CheckFailed
@@ -122,6 +123,7 @@ def test_months():
     assert months_between("2023-11-20", datetime(2024, 1, 3)) == ["2023-11", "2023-12", "2024-01"]
     assert months_between("2023-11", "2024-01", end_offset=0) == ["2023-11", "2023-12"]
     assert months_between("2024-02", "2024-01") == [] and months_between("2024-03", "2024-01") == []
+    assert months_to_load("2023-03-15") == ["2023-01", "2023-02", "2023-03"]
     w = month_window("2023-12")
     assert (w.start, w.end) == ("2023-12-01 00:00:00", "2024-01-01 00:00:00")
 
