@@ -37,13 +37,13 @@ class HostRules:
     min_words: int = 20
     max_repeat_percent: int = 30
     # Symbols and repeated lines for each 100 words; characters for each word.
-    max_symbol_percent: int = 50
+    max_symbol_percent: int = 30
     max_dup_line_percent: int = 10
     min_word_chars: float = 2.0
     max_word_chars: float = 20.0
     # The same for documents of suspect hosts.
     strict_symbol_percent: int = 10
-    strict_dup_line_percent: int = 3
+    strict_dup_line_percent: int = 5
     # Shrunk failure rates from which a host is suspect or rejected.
     suspect_rate: float = 0.5
     rejected_rate: float = 0.9
