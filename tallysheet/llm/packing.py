@@ -13,9 +13,12 @@ itself; ids may be null. An empty table gives no pieces.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,8 @@ from tallysheet.llm.tables import free_name, stored, without
 
 CAPACITY = 2048
 END_ID = 0
-# Distinct words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+# Distinct words whose ids a worker remembers; beyond that, the older half stays.
+REMEMBERED = 1_000_000
 # Characters encoded at a time in a worker.
 BLOCK_CHARS = 4_000_000
 # Pieces in a bucket within which ranks are counted, and the least number of buckets.
@@ -165,26 +168,69 @@ _TOKENIZERS: dict = {}
 
 
 class _Encoder:
-    """Ids of whole texts as bytes. A word between separators always has the same ids in this kind
-    of tokenizer (words never span white space), so that each distinct word is encoded once."""
+    """Ids of whole texts as bytes, by a tokenizer whose words never span white space: the ids of a
+    text are those of its words, and each distinct word is encoded once.
+
+    Words are taken in lower case, and stops behind letters apart from them, as the tokenizer does, so
+    that fewer are distinct. Words of letters are encoded many at a time in one text; each is one word
+    there, so its ids end with the first that closes a word.
+    """
+
+    # Characters that Python and the tokenizer do not lower or split alike; such texts are only split.
+    ODD = re.compile("[\x1c-\x1fΣİ]")
+    STOPS = re.compile(r"(?<=[^\W\d_])[.,;:!?]+(?=\s|\Z)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence as Normalizers
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
+        from tokenizers.pre_tokenizers import Sequence as PreTokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        # The same for words of lower-case letters in composed form: nothing is left to normalise or cut.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = Normalizers([])
+        self.plain.pre_tokenizer = PreTokenizers([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        cut = [t.encode().split() if t else [] for t in texts]
-        new = list(set().union(*cut).difference(self.known)) if cut else []
+        cut = [self._words(t) if t else [] for t in texts]
+        new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*cut))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
-            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in ws]) for ws in cut]
+            # Frequent words are met early: the older half stays.
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+            new = set().union(*cut).difference(self.known)
+        self._learn(new)
+        get = self.known.__getitem__
+        return [b"".join(map(get, ws)) for ws in cut]
+
+    def _words(self, text: str) -> list[str]:
+        if self.ODD.search(text):
+            return [w.decode() for w in text.encode().split()]
+        return self.STOPS.sub(r" \g<0>", text).lower().split()
+
+    def _learn(self, words: set[str]) -> None:
+        letters, other = [], []
+        for w in words:
+            plain = w.isalpha() and w.islower() and (w.isascii() or is_normalized("NFC", w))
+            (letters if plain else other).append(w)
+        for at in range(0, len(letters), 10_000):
+            part = letters[at : at + 10_000]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+            if len(ends) == len(part):
+                data = ids.tobytes()
+                self.known.update(zip(part, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+            else:
+                self._each(part)
+        self._each(other)
+
+    def _each(self, words: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        self.known.update(zip(words, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
 
 
 def _encoder(path: str) -> _Encoder:

@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallysheet.llm import hostrules, lshforest, mixing, packing, pii
+from tallysheet.llm import (
+    hostrules,
+    langid,
+    lshforest,
+    mixing,
+    multiindex,
+    packing,
+    pii,
+    toxicity,
+    urlrules,
+    wordpiece,
+)
 from tallysheet.llm.tables import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +42,34 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def _held_out(folds: int, fold: int) -> Column:
+    """Whether crc32 of the id as text falls into the fold; false for a null id."""
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+    return F.coalesce(remainder == fold, F.lit(False))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", _held_out(4, 2).alias("held_out"))
+    filters = langid.learn(docs.where("doc_id is not null and not held_out"))
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), filters)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", _held_out(5, 0).alias("held_out"))
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(~_held_out(5, 0))
+    model = toxicity.train(docs.select("doc_id", "text"), labels)
+    return toxicity.score(docs, model, with_sentences=True).select(
+        "doc_id", "held_out", "score", "predicted", F.size("sentences").alias("n_sentences"),
+        F.col("sentences").cast("string").alias("sentences"),
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return wordpiece.count_tokens(docs, WORD_BPE).select("doc_id", "n_words", "n_tokens")
+
+
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     measured = hostrules.measure(docs.select("doc_id", "source", "text"))
@@ -41,6 +80,15 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urlrules.judge(read(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined_rule", "mined_confidence")
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return lshforest.near_duplicates(docs, keep_text=False).select("doc_id", "class_id", "n_links")
@@ -55,7 +103,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
+    "op3_language": op3_language,
+    "op4_toxicity": op4_toxicity,
+    "op5_token_counts": op5_token_counts,
     "op6_host_rules": op6_host_rules,
+    "op7_url_rules": op7_url_rules,
+    "op8_nearest": op8_nearest,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_personal_data": op10_personal_data,
 }

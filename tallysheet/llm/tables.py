@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,12 @@ WORD_SEPARATORS = " \t\n\x0b\x0c\r"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table. Python workers get the folder of this package on their path, for sessions
+    that were started elsewhere; on a cluster the package is installed or sent with the job."""
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in environment.get("PYTHONPATH", "").split(":"):
+        environment["PYTHONPATH"] = ":".join(filter(None, [environment.get("PYTHONPATH", ""), root]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
