@@ -147,9 +147,7 @@ def candidate_runs(text: str) -> Iterator[Run]:
 def segment_features(segment: str, before: str, tokens: int) -> list[str] | None:
     """Features of a whole candidate segment; None if it can hold no personal data at all."""
     digits = _NO_DIGITS.sub("", segment)
-    if "@" not in segment and len(digits) < 7:
-        return None
-    if len(segment) > 120:
+    if len(segment) > 120 or ("@" not in segment and len(digits) < 7 and segment.count(".") < 3):
         return None
     shape = _RUNS.sub(lambda m: f"N{len(m[0])}" if m[0].isdigit() else "a", segment)
     coarse = _RUNS.sub(lambda m: "N" if m[0].isdigit() else "a", segment)

@@ -35,11 +35,11 @@ class Training:
     # they tell labels apart.
     least_docs: int = 3
     features: int = 20_000
-    rounds: int = 25
-    rate: float = 0.5
+    rounds: int = 30
+    rate: float = 0.7
     decay: float = 1e-4
     # A sentence without any known feature has this score.
-    prior: float = 1e-4
+    prior: float = 1e-5
     beginnings: tuple[int, ...] = (4, 5, 6)
 
 

@@ -93,7 +93,7 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     labels = F.split(host, r"\.")
     n = F.size(labels)
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    last = F.element_at(segments, -1)
+    last = F.get(segments, F.size(segments) - 1)
     query = F.regexp_extract(_rest(url), r"^[^?#]*\?([^#]*)", 1)
     keys = F.array_join(F.array_sort(F.array_distinct(F.transform(F.split(query, "&"), lambda p: F.substring_index(p, "=", 1)))), "&")
     some = lambda name, value, when: F.when(when, F.concat(F.lit(name + ":"), value))
@@ -101,8 +101,8 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
         some("scheme", F.translate(F.substring_index(url, "://", 1), _UPPER, _LOWER), F.lit(True)),
         some("host", host, n > 2),
         some("domain", F.concat_ws(".", F.slice(labels, F.greatest(n - 1, F.lit(1)), 2)), F.lit(True)),
-        some("top", F.element_at(labels, -1), F.lit(True)),
-        some("sub", F.element_at(labels, 1), n > 3),
+        some("top", F.get(labels, n - 1), F.lit(True)),
+        some("sub", F.get(labels, 0), n > 3),
         some("start", F.get(segments, 0), F.size(segments) > 0),
         some("depth", F.least(F.size(segments), F.lit(9)).cast("string"), F.lit(True)),
         some("type", F.regexp_extract(last, r"\.([A-Za-z0-9]+)$", 1), last.rlike(r"\.[A-Za-z0-9]+$")),

@@ -1,0 +1,33 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import types as T
+
+DOCS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from (doc_id, text[, lang[, source]]), with n_chars."""
+
+    def make(rows):
+        full = []
+        for row in rows:
+            doc_id, text, lang, source = (*row, None, None, None)[:4]
+            full.append((doc_id, text, lang, source, None if text is None else len(text)))
+        return spark.createDataFrame(full, DOCS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"

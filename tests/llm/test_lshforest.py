@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import dataclasses
+import random
+from collections import Counter
+
+import numpy as np
+
+from tallysheet.llm import lshforest
+from tallysheet.llm.queries import op9_jaccard_join
+
+
+def _grams(text):
+    w = (text or "").encode().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def _brute(rows):
+    """{row number: (class id, links)} over (doc_id, text)."""
+    sets = [_grams(t) for _, t in rows]
+    inverted = {}
+    for i, s in enumerate(sets):
+        for g in s:
+            inverted.setdefault(g, []).append(i)
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = []
+    for i, s in enumerate(sets):
+        common = Counter(j for g in s for j in inverted[g] if j != i)
+        own = [j for j, n in common.items() if 9 * n >= 4 * (len(s) + len(sets[j]))]
+        links.append(len(own))
+        for j in own:
+            parent[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    return [(rows[i][0], least.get(find(i)), links[i]) for i in range(len(rows))]
+
+
+def _sorted(rows):
+    return sorted(rows, key=lambda r: [(x is not None, x or 0) for x in r])
+
+
+def _texts(seed, groups):
+    """(size, edits) of each group: copies of one text with words changed."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    out = []
+    for size, edits in groups:
+        base = [word() for _ in range(rng.randint(60, 120))]
+        for _ in range(size):
+            text = base[:]
+            for _ in range(rng.randint(0, edits)):
+                text[rng.randrange(len(text))] = word()
+            out.append(" ".join(text))
+    return out
+
+
+def test_query_against_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    found = [tuple(r) for r in op9_jaccard_join(spark, small).collect()]
+    assert _sorted(found) == _sorted(_brute([(d["doc_id"], d["text"]) for d in docs]))
+
+
+def test_blocks_and_large_components(spark, make_docs):
+    """The same result as one task, as pairs of blocks, and tree by tree."""
+    texts = _texts(1, [(60, 4), (5, 1), (30, 8), (4, 0), (1, 0)])
+    rows = list(enumerate(texts))
+    docs = make_docs(rows)
+    expected = _sorted(_brute(rows))
+    for change in ({}, {"block": 7}, {"block": 7, "large": 10}, {"large": 1}):
+        forest = dataclasses.replace(lshforest.DEFAULT, **change)
+        found = lshforest.near_duplicates(docs, forest=forest).select("doc_id", "class_id", "n_links").collect()
+        assert _sorted([tuple(r) for r in found]) == expected, change
+
+
+def test_cases(spark, make_docs):
+    text = "one two three four five six seven"
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "short"), (5, "short"), (6, text), (6, text), (None, text), (7, text + " x")]
+    found = lshforest.near_duplicates(make_docs(rows))
+    got = _sorted([(r["doc_id"], r["class_id"], r["n_links"]) for r in found.collect()])
+    assert got == _sorted(_brute(rows)[3:] + [(1, 1, 0), (2, 2, 0), (3, 3, 0)])
+    first = sorted(r["doc_id"] for r in found.where("is_first").collect())
+    assert first == [1, 2, 3, 4, 6, 7]
+    assert lshforest.near_duplicates(make_docs([])).collect() == []
+
+
+def test_repeated_ids_with_different_texts(spark, make_docs):
+    rows = [(1, "a b c d e f g"), (1, "p q r s t u v"), (2, "p q r s t u v"), (3, "a b c d e f g")]
+    found = lshforest.near_duplicates(make_docs(rows)).select("doc_id", "class_id", "n_links").collect()
+    assert _sorted([tuple(r) for r in found]) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
+def test_clashing_columns_are_replaced(spark, make_docs):
+    docs = make_docs([(1, "a b c d e f")]).selectExpr("*", "9 as CLASS_ID", "1 as root", "2 as node", "3 as tree")
+    row = lshforest.near_duplicates(docs).first()
+    assert row["class_id"] == 1 and row["root"] == 1 and row["node"] == 2 and row["tree"] == 3
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (7, 7)]
+    found = lshforest.components(spark.createDataFrame(chain, "a long, b long")).collect()
+    assert sorted(tuple(r) for r in found) == [(i, 0) for i in range(1, 61)] + [(150, 100), (200, 100)]
+    assert lshforest.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_common_counts():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (50, 200, 1, 120, 120)]
+    found = lshforest.common_counts(sets)
+    for i in range(5):
+        for j in range(5):
+            if i != j:
+                assert found[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_prefix_is_the_longest_with_the_recall():
+    forest = lshforest.DEFAULT
+    recall = lambda d: 1 - (1 - 0.8**d) ** forest.trees
+    assert recall(forest.prefix()) >= forest.target_recall > recall(forest.prefix() + 1)

@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallysheet.llm import pii
+from tallysheet.llm.queries import op10_personal_data
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def _digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+def _luhn(s):
+    doubled = [int(c) * 2 if k % 2 else int(c) for k, c in enumerate(reversed(s))]
+    return sum(sum(map(int, str(d))) for d in doubled) % 10 == 0
+
+
+def _brute(text):
+    spans = [(m.start(), m.end(), 0) for m in EMAIL.finditer(text)]
+    spans += [(m.start(), m.end(), 1) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    spans += [(m.start(), m.end(), 2) for m in CARD.finditer(text) if 14 <= len(_digits(m[0])) <= 19 and _luhn(_digits(m[0]))]
+    spans += [(m.start(), m.end(), 3) for m in PHONE.finditer(text) if 10 <= len(_digits(m[0])) <= 15]
+    return sorted(spans, key=lambda s: (s[0], s[2]))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("0123456789.@+-() aé%_x"), max_size=60))
+def test_base_spans_against_patterns(text):
+    assert pii.base_spans(text) == _brute(text)
+
+
+def test_long_runs_stay_linear():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "a@" * 60_000, "1." * 100_000, "+1" * 60_000, "x1 " * 60_000):
+        pii.find_spans(text, [{} for _ in pii.KINDS])
+
+
+def test_query_against_patterns(spark, small):
+    texts = {d["doc_id"]: d["text"] or "" for d in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in op10_personal_data(spark, small).collect():
+        base = _brute(texts[r["doc_id"]])
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[2] == k for s in base) for k in range(4)]
+        assert r["base_sha256"] == hashlib.sha256(pii.written(base).encode()).hexdigest()
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert set(pii.written(base).split(",")) - {""} <= set(spans)
+
+
+def _training():
+    runs = []
+    for k in range(60):
+        runs += [f"call +1 ({200 + k}) 555-{1000 + 7 * k}", f"from 10.{k}.7.{k + 1}", f"mail user.{k}@host{k}.example.com"]
+        runs += [f"in {1900 + k}", f"item {k * 7919} of {k}", f"sum {k}.{k} {k * 31}"]
+    return [(r, pii.base_spans(r)) for r in runs]
+
+
+def test_model_finds_the_base_spans_jointly():
+    weights = pii.train(_training())
+    text = "call +1 (777) 555-1234 from 10.2.3.4 or in 1999 mail some.one@host9.example.com"
+    found = [s for run in pii.candidate_runs(text) for s in pii.decode(text, run, weights)]
+    assert found == _brute(text)
+
+
+def test_decoding_against_all_segmentations():
+    weights = pii.train(_training())
+    text = "x +1 (777) 555-1234 10.2.3.4 2000 a@b.example.com"
+    (run,) = list(pii.candidate_runs(text))
+    scored = [
+        (i, j, k, sum(w.get(f, 0.0) for f in features))
+        for i, j, features in pii._segments(text, run, 6)
+        for k, w in enumerate(weights)
+    ]
+    scored = [s for s in scored if s[3] >= pii.DEFAULT.margin]
+
+    def best(at):
+        if at == len(run.tokens):
+            return 0.0
+        return max([best(at + 1), *(s[3] + best(s[1]) for s in scored if s[0] == at)])
+
+    lookup = {(run.tokens[i][0], run.tokens[j - 1][1], k): s for i, j, k, s in scored}
+    assert abs(sum(lookup[s] for s in pii.decode(text, run, weights)) - best(0)) < 1e-9
+
+
+def test_masking():
+    text = "a +1 (777) 555-1234 b x@y.example.com"
+    base = pii.base_spans(text)
+    assert pii.masked(text, base) == "a <phone> b <email>"
+    assert pii.masked("abcdef", [(0, 3, 0), (2, 4, 1)]) == "<email>ef"
+
+
+def test_cases(spark, make_docs):
+    docs = make_docs([(1, None), (2, ""), (None, "x@y.example.com"), (3, "x@y.example.com"), (3, "x@y.example.com")])
+    docs = docs.selectExpr("*", "7 as SPANS", "8 as run")
+    rows = pii.find_personal_data(docs, with_masked=True).collect()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [(r["base_sha256"], r["spans"]) for r in rows if r["doc_id"] in (1, 2)] == [(empty, "")] * 2
+    assert all(r["n_email"] == 1 and r["masked_text"] == "<email>" for r in rows if r["doc_id"] not in (1, 2))
+    assert [r["masked_text"] for r in rows if r["doc_id"] == 1] == [None]
+    assert pii.find_personal_data(make_docs([])).collect() == []

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import itertools
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallysheet.llm import urlrules
+from tallysheet.llm.queries import op7_url_rules
+
+
+def _parse(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def _listed(host, path):
+    fit = [r for r in urlrules.LIST_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fit, key=lambda r: len(r.text)) if fit else None
+
+
+def _mined(parsed, mining):
+    """Rules by counting every combination of up to three tokens."""
+    labelled = [(set(t), rule.verdict) for _, _, t, rule in parsed if rule and t]
+    alone, labels = {}, {}
+    for tokens, verdict in labelled:
+        for n in range(1, mining.most_tokens + 1):
+            for c in itertools.combinations(sorted(tokens), n):
+                alone[c] = alone.get(c, 0) + 1
+                labels[c, verdict] = labels.get((c, verdict), 0) + 1
+    least = -(-mining.min_support * len(labelled) // 1)
+    rules = [(-n / alone[c], -n / len(labelled), len(c), " ".join(c), v, set(c)) for (c, v), n in labels.items() if n >= least]
+    return sorted(r for r in rules if -r[0] >= mining.min_confidence)
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    return op7_url_rules(spark, "/root/testdata/sf0.01").collect()
+
+
+def test_query_against_brute_force(spark, judged):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    host, path = urlrules.host_of(F.col("url")), urlrules.path_of(F.col("url"))
+    rows = pages.select("page_id", "url", urlrules.tokens_of(F.col("url"), host, path).alias("t")).collect()
+    parsed = {r["page_id"]: (*_parse(r["url"]), r["t"], _listed(*_parse(r["url"]))) for r in rows}
+    rules = _mined(parsed.values(), urlrules.DEFAULT)
+    assert len(judged) == len(parsed)
+    for r in judged:
+        host, path, tokens, listed = parsed[r["page_id"]]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, listed and listed.text)
+        if listed:
+            assert r["verdict"] == listed.verdict and r["mined_rule"] is None
+        else:
+            best = next((m for m in rules if m[5] <= set(tokens)), None)
+            assert (r["mined_rule"], r["verdict"]) == ((best[3], best[4]) if best else (None, "allow"))
+
+
+def test_no_python_in_the_plan(spark):
+    plan = op7_url_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_list_rules(spark):
+    urls = ["http://A.Example.NET/en/x", "http://net/", "http://x.net", "http://example.com/de/", "http://xexample.com/de/", "http://o.org/fr/y?z"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlrules.judge(pages).collect()}
+    assert found[0] == ("example.net/en/", "allow")
+    assert found[1] == ("net/", "block")
+    assert found[2][0] is None and found[4][0] is None
+    assert found[3] == ("example.com/de/", "block")
+    assert found[5] == ("org/fr/", "allow")
+
+
+def test_cases(spark):
+    urls = [None, "", "no scheme", "://", "http://?q", "HTTP://É.Com#x://y", "http://h.example.com/" + "a/" * 5000, "http://h/a?b=1&a&b=2"]
+    pages = spark.createDataFrame([*enumerate(urls), (None, "http://h/x"), (1, ""), (1, "")], "page_id long, url string")
+    rows = urlrules.judge(pages.selectExpr("*", "7 as HOST", "8 as tokens", "9 as label")).collect()
+    assert len(rows) == 11 and all(r["tokens"] == 8 for r in rows)
+    got = {r["page_id"]: (r["host"], r["path"]) for r in rows if r["page_id"] not in (None, 1)}
+    assert got == {k: _parse(u) for k, u in enumerate(urls) if k != 1}
+    assert all(r["verdict"] == "allow" and r["rule"] is None for r in rows)
+    assert urlrules.judge(pages.limit(0)).collect() == []
