@@ -31,7 +31,7 @@ from tallysheet.llm.tables import free_name, stored, without
 CAPACITY = 2048
 END_ID = 0
 # Distinct words whose ids a worker remembers; beyond that, the older half stays.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 # Characters encoded at a time in a worker.
 BLOCK_CHARS = 4_000_000
 # Pieces in a bucket within which ranks are counted, and the least number of buckets.
