@@ -15,6 +15,7 @@ from tallysheet.llm import (
     lshforest,
     mixing,
     multiindex,
+    oracles,
     packing,
     pii,
     toxicity,
@@ -119,4 +120,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found = oracles.oracle_sql()
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
