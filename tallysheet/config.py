@@ -77,8 +77,10 @@ class Rules:
     no_super_rubro: str = NO_SUPER_RUBRO
     method_labels: dict[str, str] = field(default_factory=lambda: dict(METHOD_LABELS))
     first_month: str = FIRST_MONTH
-    # Dimensions up to this many rows are broadcast; larger ones take the shuffle join.
-    broadcast_rows: int = 200_000
+    # Dimensions whose tables have up to so many bytes are broadcast; larger ones take the shuffle join.
+    broadcast_bytes: int = 64 << 20
+    # How time is cut in the price lookup: a running window spans one article and one slice.
+    price_slice: str = "day"
 
 
 DEFAULT_RULES = Rules()

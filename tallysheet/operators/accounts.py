@@ -22,7 +22,7 @@ def _resolution() -> dict[str, Column]:
 def resolve_account(sales: DataFrame, clients: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Add principal code, secondary flag and resolved account. Unknown clients are kept."""
     principals = clients.select("codigo_cliente", "cuenta_principal_codigo")
-    rows = lookup(sales, principals, ["codigo_cliente"], "left", rules.broadcast_rows)
+    rows = lookup(sales, principals, ["codigo_cliente"], "left", rules.broadcast_bytes)
     return rows.withColumns(_resolution())
 
 
@@ -65,7 +65,7 @@ def detect_gm(
 ) -> DataFrame:
     """Attach the resolved account and flag GM sales. Sales of unknown accounts are dropped."""
     master = _account_master(clients, sellers, rules)
-    rows = lookup(sales, master, ["codigo_cuenta_resuelta"], "inner", rules.broadcast_rows)
+    rows = lookup(sales, master, ["codigo_cuenta_resuelta"], "inner", rules.broadcast_bytes)
     return _flag_gm(rows, rules)
 
 
@@ -81,5 +81,5 @@ def attach_accounts(
     own = clients.select("codigo_cliente", "cuenta_principal_codigo").withColumns(_resolution())
     master = _account_master(clients, sellers, rules)
     accounts = own.join(master, "codigo_cuenta_resuelta")
-    rows = lookup(sales, accounts, ["codigo_cliente"], "inner", rules.broadcast_rows)
+    rows = lookup(sales, accounts, ["codigo_cliente"], "inner", rules.broadcast_bytes)
     return _flag_gm(rows, rules)

@@ -39,6 +39,15 @@ def _changes(
     tie_break: Sequence[str],
 ) -> DataFrame:
     """Right side reduced to one row per key and instant, packed as (by.., _t, _hit)."""
+    if len(values) == 1 and list(tie_break) == list(values):
+        # The lowest value by itself: plain values, unlike structs, can be aggregated by hash.
+        least = (
+            right.where(_present(by))
+            .groupBy(*by, F.col(right_ts).alias("_t"))
+            .agg(F.min(values[0]).alias("_value"))
+        )
+        hit = F.struct(F.col("_t").alias("ts"), F.col("_value").alias(values[0]))
+        return least.select(*by, "_t", hit.alias("_hit")).where(F.col("_hit")["ts"].isNotNull())
     hit = F.struct(F.col(right_ts).alias("ts"), *values)
     # Ascending by the tie-break columns, nulls after all values.
     rank = F.struct(*[part for c in tie_break for part in (F.col(c).isNull(), F.col(c))])
@@ -98,12 +107,16 @@ def asof_join(
     events = events.withColumn("_slice", slice_of("_t")).repartition(*by, "_slice")
 
     # One row per key and slice: does the left side need it, and its outermost change.
-    edge = F.min_by("_hit", F.when(F.col("_side") == 1, F.col("_t")))
-    if not forward:
-        edge = F.max_by("_hit", F.when(F.col("_side") == 1, F.col("_t")))
+    # Instants are unique among the changes of a key, so their values are picked one by one.
+    changed = F.when(F.col("_side") == 1, F.col("_t"))
+    outermost, pick = (F.min, F.min_by) if forward else (F.max, F.max_by)
     cells = events.groupBy(*by, "_slice").agg(
-        edge.alias("_edge"), F.bool_or(F.col("_side") == 0).alias("_wanted")
+        outermost(changed).alias("_edge_ts"),
+        *[pick(F.col("_hit")[v], changed).alias(f"_edge_{i}") for i, v in enumerate(values)],
+        F.bool_or(F.col("_side") == 0).alias("_wanted"),
     )
+    edge = F.struct(F.col("_edge_ts").alias("ts"), *[F.col(f"_edge_{i}").alias(v) for i, v in enumerate(values)])
+    cells = cells.select(*by, "_slice", F.when(F.col("_edge_ts").isNotNull(), edge).alias("_edge"), "_wanted")
     order = F.col("_slice").desc() if forward else F.col("_slice").asc()
     beyond = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 from tallysheet.config import DEFAULT_RULES
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. A plain count: it is combined per partition,
-    whereas a limit would first bring that many rows of every partition into one task."""
-    return df.count() <= max_rows
+def stored_bytes(df: DataFrame) -> int | None:
+    """Bytes of all tables that ``df`` reads, from their files' sizes; None if one is not known.
+
+    A dimension is made of its tables by joins on unique keys, so it is not larger than they are.
+    Nothing is run. Catalyst's estimate for the dimension itself is not used: it multiplies the sizes
+    of both inputs when a dimension is itself a join.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total if total < 1 << 62 else None
 
 
 def lookup(
@@ -21,15 +27,15 @@ def lookup(
     dim: DataFrame,
     on: Sequence[str] | Column,
     how: str = "left",
-    max_rows: int = DEFAULT_RULES.broadcast_rows,
+    max_bytes: int = DEFAULT_RULES.broadcast_bytes,
 ) -> DataFrame:
     """Join facts to a dimension without moving the facts, if the dimension is small enough.
 
-    The size is counted, not estimated, because Catalyst multiplies the sizes of both inputs when
-    a dimension is itself a join and then never broadcasts it. Beyond ``max_rows`` this is a
-    shuffle join and adaptive execution splits the partitions of hot keys (only the fact side is
-    split, so both ``inner`` and ``left`` qualify).
+    The bound is in bytes and known without a job. Beyond it this is a shuffle join: adaptive
+    execution still broadcasts a dimension that turns out small, and splits the partitions of hot
+    keys (only the fact side is split, so both ``inner`` and ``left`` qualify).
     """
-    if max_rows and fits(dim, max_rows):
+    size = stored_bytes(dim) if max_bytes else None
+    if size is not None and size <= max_bytes:
         dim = F.broadcast(dim)
     return facts.join(dim, on if isinstance(on, Column) else list(on), how)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame
@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tallysheet.config import DEFAULT_RULES, Rules
 from tallysheet.operators.asof import asof_join, asof_join_small
 from tallysheet.operators.latest import latest_by
-from tallysheet.operators.lookup import lookup
 
 # A price belongs to a voucher's article, not to a line: all lines of the key share the price
 # found for the earliest time among them. The most selective part leads, as joins sort by it.
@@ -49,7 +48,9 @@ def price_at_sale(
         .groupBy(*PRICE_KEY)
         .agg(F.min("fecha_comprobante").alias("_first_sale"))
     )
-    join = asof_join_small if small_history else asof_join
+    join = asof_join_small
+    if not small_history:
+        join = partial(asof_join, slice_of=lambda t: F.date_trunc(rules.price_slice, t))
     matched = join(
         firsts,
         history,
@@ -60,9 +61,9 @@ def price_at_sale(
         direction=direction,
         matched_ts="precio_vigente_desde",
     )
-    priced = lookup(
-        matched, current_prices(history), ["codigo_articulo"], "left", rules.broadcast_rows
-    )
+    # One row per article, from the whole history: no size is known beforehand, so adaptive execution
+    # picks the join.
+    priced = matched.join(current_prices(history), "codigo_articulo", "left")
     # A key with a null part has no historical price, only the fallback.
     whole = reduce(and_, [F.col(c).isNotNull() for c in PRICE_KEY])
     price = F.coalesce(F.when(whole, F.col("precio_cambio")), F.col("precio_actual_proveedor"))

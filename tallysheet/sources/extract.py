@@ -33,7 +33,8 @@ class Window:
         """Coarser test on the bare date column; unlike ``covers`` it reaches the scan."""
         day = F.col(day) if isinstance(day, str) else day
         first, last = (F.to_date(F.lit(str(v)[:10])) for v in (self.start, self.end))
-        return day.between(first, last)
+        # The column may hold a time of day: the last day ends where the next one begins.
+        return (day >= first) & (day < F.date_add(last, 1))
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def extract_prices(
     # Both catalogue tables are joined with each other first, so the change log, which is the
     # large side, meets one lookup only.
     catalogue = supplied.join(active, "codigoarticulo")
-    rows = lookup(changes, catalogue, ["codigo"], "inner", max_rows=rules.broadcast_rows)
+    rows = lookup(changes, catalogue, ["codigo"], "inner", max_bytes=rules.broadcast_bytes)
     rows = conform(rows, RAW_PRICE_HISTORY).distinct()
     return rows.orderBy(F.desc_nulls_first("fechamodificacion")) if newest_first else rows
 

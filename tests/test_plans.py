@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallysheet.config import SALES_SOURCES, Rules
 from tallysheet.operators.asof import asof_join
-from tallysheet.operators.lookup import fits, lookup
+from tallysheet.operators.lookup import lookup, stored_bytes
 from tallysheet.operators.prices import price_at_sale
 from tallysheet.plans.fact import build_fact
 from tallysheet.queries import fixtures as fx
@@ -55,9 +55,9 @@ def hot_facts(spark):
 
 def test_large_dimension_takes_the_shuffle_join_and_the_hot_key_is_split(spark, small_partitions):
     dim = spark.range(5000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
-    assert not fits(dim, 4999) and fits(dim, 5000)
+    assert stored_bytes(dim) == 40_000
     for how in ("left", "inner"):
-        joined = lookup(hot_facts(spark), dim, ["k"], how, max_rows=100)
+        joined = lookup(hot_facts(spark), dim, ["k"], how, max_bytes=100)
         assert "SortMergeJoin(skew=true)" in final_plan(joined)
         assert joined.count() == 200_000
     assert "Exchange hashpartitioning" not in plan_of(lookup(hot_facts(spark), dim, ["k"]))
@@ -85,7 +85,7 @@ def test_window_filter_and_columns_reach_the_scan(spark):
     sales = extract_sales(*stored, SALES_SOURCES[0], window).select("codigo_articulo", "cantidad_articulo")
     plan = plan_of(sales)
     assert "GreaterThanOrEqual(fechacomprobante,1997-03-01)" in plan
-    assert "LessThanOrEqual(fechacomprobante,1997-04-01)" in plan
+    assert "LessThan(fechacomprobante,1997-04-02)" in plan
     assert "In(tipocomprobante" in plan and "EqualTo(anulada,0)" in plan
     assert "In(codigoarticulo" in plan
     assert "razonsocial" not in plan and "descripcion" not in plan
@@ -121,13 +121,29 @@ def test_fact_moves_the_sales_once(spark, tables):
     assert all("descripcion_articulo" not in line and "razon_social" not in line for line in narrow)
 
 
+def test_building_the_fact_runs_no_job(spark, tables):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "building the fact")
+    try:
+        fact = build_fact(tables, fx.RULES)
+        fact._jdf.queryExecution().executedPlan()
+        assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_changes_and_edges_are_aggregated_by_hash(spark, tables):
+    plan = plan_of(asof_join(tables.sales, tables.price_history, ["codigo_articulo"], "fecha_comprobante", "fecha_modificacion", ["precio_cambio"]))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_uses_of_one_input_share_their_shuffle(spark, tables):
     priced = price_at_sale(tables.sales, tables.price_history, Rules())
     plan = final_plan(priced)
     # Wide rows, narrow keys, changes and current prices: one scan each.
     assert plan.count("FileScan parquet") == 4
-    # The price keys and the merged events are each shuffled once and used twice.
-    assert plan.count("ReusedExchange") == 2
+    # The price keys, the merged events and the history are each shuffled once and used twice.
+    assert plan.count("ReusedExchange") == 3
 
 
 def test_adaptive_execution_splits_a_hot_partition_on_write(spark, small_partitions):

@@ -81,11 +81,11 @@ def test_malformed_rate_is_gm_without_rate(spark, clients, sellers):
     assert (row.es_venta_gm, row.gm_descuento_pct) == (True, None)
 
 
-@pytest.mark.parametrize("limit", [0, 200_000])
+@pytest.mark.parametrize("limit", [0, 64 << 20])
 def test_one_join_equals_two(spark, clients, sellers, limit):
     from tallysheet.config import Rules
 
-    rules = Rules(broadcast_rows=limit)
+    rules = Rules(broadcast_bytes=limit)
     sales = sales_of(
         spark, "blank", "null", "sub", "lost", "self", "chain", "main", "unknown", "bad", "ghost", None
     )
