@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from decimal import Decimal
 
@@ -9,6 +10,7 @@ from tallysheet.operators.mart import sales_by
 from tallysheet.plans.incremental import (
     GROUPS,
     Feeds,
+    IncompleteMonth,
     backfill,
     load_month,
     month_window,
@@ -16,13 +18,21 @@ from tallysheet.plans.incremental import (
     months_between,
     months_to_load,
     refresh,
+    refresh_mart,
 )
 from tallysheet.quality.checks import CheckFailed
 from tallysheet.queries import fixtures as fx
 from tallysheet.schemas import RAW_SALES, conform
 from tallysheet.scratch import scratch_dir
 from tallysheet.sinks.audit import audit_rows, month_complete
-from tallysheet.sinks.tables import replace_month, replace_source_month, replace_table, write_mart
+from tallysheet.sinks.tables import (
+    remove_replaced,
+    replace_month,
+    replace_partitions,
+    replace_source_month,
+    replace_table,
+    write_mart,
+)
 from tallysheet.sources.tables import Catalog, init_catalog, raw
 from tests.conftest import rows
 
@@ -209,3 +219,84 @@ def test_failing_check_stops_before_the_mart(spark, catalog, feeds):
     with pytest.raises(CheckFailed, match="stg_sellers.codigo_vendedor unique: 20"):
         refresh(spark, catalog, "mart", rules=DEFAULT_RULES)
     assert not spark.catalog.tableExists(catalog.analytics("fct_sales"))
+
+
+def test_parallel_loads_leave_other_months_alone(spark, catalog):
+    """Four months and four sources of one month, reloaded from threads at the same time."""
+    name = catalog.raw("raw_sales")
+    sources = [s.db for s in SALES_SOURCES]
+    for m in range(1, 9):
+        for db in sources[: 4 if m == 1 else 1]:
+            replace_source_month(sales(spark, (m, db, m)), name, db, f"2024-{m:02d}")
+    setting = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    work = [(sources[0], m) for m in range(2, 6)] + [(db, 1) for db in sources]
+    with ThreadPoolExecutor(len(work)) as pool:
+        jobs = [
+            pool.submit(replace_source_month, sales(spark, (100 + m, db, m)), name, db, f"2024-{m:02d}")
+            for db, m in work
+        ]
+        assert [j.result() for j in jobs] == [1] * len(work)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == setting
+    stored = sorted(tuple(r) for r in spark.table(name).select("load_month", "db", "numero_comprobante").collect())
+    expected = [("2024-01", db, 101.0) for db in sources]
+    expected += [(f"2024-{m:02d}", sources[0], float(100 + m if m < 6 else m)) for m in range(2, 9)]
+    assert stored == sorted(expected)
+
+
+def test_rows_outside_the_scope_are_refused(spark, catalog):
+    name = catalog.raw("raw_price_history")
+    replace_month(prices(spark, ("a", 1, 1.0)), name, "2024-01")
+    df = prices(spark, ("a", 2, 3.0)).withColumn("load_month", F.lit("2024-02"))
+    with pytest.raises(ValueError):
+        replace_partitions(df, name, {"load_month": ["2024-01"]})
+    assert rows(spark.table(name), "codigoarticulo", "precio") == [("a", 1.0)]
+
+
+def test_replaced_files_go_on_request(spark, catalog):
+    name = catalog.raw("raw_price_history")
+    for price in (1.0, 2.0, 3.0):
+        replace_month(prices(spark, ("a", 1, price)), name, "2024-01")
+    assert len(remove_replaced(spark, name)) == 2
+    assert rows(spark.table(name), "precio") == [(3.0,)]
+    sellers = catalog.raw("raw_sellers")
+    for who in ("Ana", "Bo"):
+        replace_table(spark.createDataFrame([("1", who)], "codigovendedor string, nombre string"), sellers)
+    assert len(remove_replaced(spark, sellers)) == 1
+    assert rows(spark.table(sellers)) == [("1", "Bo")]
+
+
+def test_failing_mart_check_keeps_the_old_rows(spark, catalog):
+    name = catalog.analytics("fct_sales")
+    first = spark.createDataFrame([("2024-01", 1)], "year_month string, voucher_number long")
+    write_mart(first, name)
+
+    def refuse(df):
+        assert df.count() == 2
+        raise CheckFailed("no")
+
+    with pytest.raises(CheckFailed):
+        write_mart(first.union(first), name, check=refuse)
+    assert rows(spark.table(name)) == [("2024-01", 1)] or rows(spark.table(name)) == [(1, "2024-01")]
+    for n in (2, 3):
+        write_mart(first.withColumn("voucher_number", F.lit(n).cast("long")), name)
+    database = name.rpartition(".")[0]
+    assert spark.sql(f"SHOW TABLES IN {database} LIKE 'fct_sales__*'").count() == 2
+    assert [r["voucher_number"] for r in spark.table(name).collect()] == [3]
+
+
+def test_incomplete_months_stop_the_mart(spark, catalog, feeds):
+    refresh(spark, catalog, "full", feeds)
+    for s in SALES_SOURCES[:3]:
+        load_month(spark, catalog, "raw_sales", lambda w: sales(spark), "2024-01", s.db)
+    with pytest.raises(IncompleteMonth):
+        refresh_mart(spark, catalog)
+    # A source without rows is loaded all the same.
+    load_month(spark, catalog, "raw_sales", lambda w: sales(spark), "2024-01", SALES_SOURCES[3].db)
+    refresh_mart(spark, catalog)
+
+
+def test_refresh_says_what_is_missing(spark, catalog, feeds):
+    with pytest.raises(ValueError, match="needs a month"):
+        refresh(spark, catalog, "sales", feeds)
+    with pytest.raises(ValueError, match="needs feeds"):
+        refresh(spark, catalog, "clients")
