@@ -5,6 +5,7 @@ from tallysheet.functions.columns import (
     compose_timestamp,
     discount_percent,
     discount_text,
+    fitted,
     in_window,
     month_key,
     to_amount,
@@ -16,6 +17,7 @@ __all__ = [
     "compose_timestamp",
     "discount_percent",
     "discount_text",
+    "fitted",
     "in_window",
     "month_key",
     "to_amount",

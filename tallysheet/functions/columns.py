@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tallysheet.schemas import AMOUNT, PERCENT
 
@@ -24,8 +25,18 @@ def to_whole(c: Name) -> Column:
     return F.rint(_col(c)).cast("long")
 
 
+def fitted(c: Column, dtype: DataType, what: str) -> Column:
+    """``c`` cast to a narrower number. A value that does not fit stops the job, whatever the session's
+    ANSI setting says."""
+    cast = c.try_cast(dtype)
+    message = F.concat(F.lit(f"{what} out of range: "), c.cast("string"))
+    return F.when(c.isNotNull() & cast.isNull(), F.raise_error(message)).otherwise(cast)
+
+
 def to_amount(c: Name) -> Column:
-    return _col(c).cast(AMOUNT)
+    """Amount or quantity. Not a number counts as missing."""
+    number = _col(c)
+    return fitted(F.when(~F.isnan(number), number), AMOUNT, "amount")
 
 
 def month_key(ts: Name) -> Column:
@@ -58,5 +69,8 @@ def discount_text(barrio: Name, pattern: str) -> Column:
 
 
 def discount_percent(text: Name) -> Column:
-    """Malformed numbers such as ``1.2.3`` give null, they do not fail the job."""
-    return _col(text).try_cast(PERCENT)
+    """Malformed numbers such as ``1.2.3`` give null, they do not fail the job. A well-formed one
+    that does not fit does."""
+    text = _col(text)
+    number = F.when(text.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), text)
+    return fitted(number, PERCENT, "discount")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallysheet.config import PAGE_SIZE
 from tallysheet.functions import compose_timestamp
 from tallysheet.queries.fixtures import RULES, raw_prices, raw_sales, source, table
 from tallysheet.queries.registry import query
@@ -115,9 +116,10 @@ def _sellers(spark, sf_dir):
 def _land(spark, resources, order_key, name):
     """Write resources as numbered pages, one page document per text line; returns the path.
 
-    A page holds the keys of one block of the page size; the last one names no successor.
+    Bodies hold data and links only, as the services send them. A page holds the keys of one block of
+    the page size; the last one names no successor.
     """
-    numbered = resources.withColumn("page", (F.expr(f"{order_key} div 250") + 1).cast("int"))
+    numbered = resources.withColumn("page", (F.expr(f"{order_key} div {PAGE_SIZE}") + 1).cast("int"))
     last = numbered.agg(F.max("page")).first()[0]
     docs = (
         numbered.groupBy("page")
@@ -132,7 +134,7 @@ def _land(spark, resources, order_key, name):
         )
     )
     path = scratch_dir(spark, name)
-    docs.select(F.to_json(F.struct("page", "data", "links")).alias("value")).write.text(path)
+    docs.select(F.to_json(F.struct("data", "links")).alias("value")).write.text(path)
     return path
 
 
@@ -172,7 +174,9 @@ def _client_pages(spark, sf_dir):
     """select codigocliente, codigoparticular, cuenta_principal_codigo,
       '' as cuenta_principal_particular, razonsocial, '' as nombre_fantasia,
       case when cast(codigocliente as bigint) % 6 <> 0 then vendedor else '' end as vendedor,
-      zona, barrio, gm, ag, es_excel, es_agro, contrareembolso, contradeposito, latitude, longitude,
+      zona, barrio, '' as localidad, '' as domicilio, '' as telefono, '' as comentario, gm, ag,
+      es_excel, es_agro,
+      es_plan_gomeria, contrareembolso, contradeposito, latitude, longitude,
       case when cast(codigocliente as bigint) % 4 = 0
         then concat('{"condicion":"CC","dias":', cast(codigocliente as bigint) % 60, '}')
         else '{}' end as conditions,
@@ -186,7 +190,7 @@ def _flatten(spark, sf_dir):
     path = _land(spark, _client_pages(spark, sf_dir), "_key", "client-pages")
     rows = api.read_clients(spark, path, multi_line=False)
     rows = encode_nested(rows, "conditions", "discounts", "campos_dinamicos", "sucursales")
-    return rows.drop("localidad", "domicilio", "telefono", "comentario", "es_plan_gomeria")
+    return rows
 
 
 @query(

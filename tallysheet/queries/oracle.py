@@ -10,6 +10,7 @@ def quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+# Fixed values in these texts (types, codes, labels) are the business rules, stated a second time.
 MODELS: dict[str, str] = {
     "raw_sales": f"""
 select h.tipocomprobante as tipo_comprobante, h.numerocomprobante as numero_comprobante,
@@ -22,15 +23,16 @@ select h.tipocomprobante as tipo_comprobante, h.numerocomprobante as numero_comp
   b.preciounitario as precio_unitario_articulo, b.preciototal as precio_total_articulo,
   b.costoventa as costo_venta_articulo, b.descuento as descuento_articulo,
   b.codigodeposito as codigo_deposito_articulo
-from src_header h, src_body b
-where b.db = h.db and b.tipocomprobante = h.tipocomprobante
-  and b.numerocomprobante = h.numerocomprobante
-  and h.anulada = 0 and h.tipocomprobante in ({quoted(VOUCHER_TYPES)})
+from src_header h
+join src_body b using (db, tipocomprobante, numerocomprobante)
+where h.anulada = 0 and h.tipocomprobante in ({quoted(VOUCHER_TYPES)})
   and b.codigoarticulo not in ({quoted(EXCLUDED)})""",
     "raw_prices": """
 select distinct s.codigoarticulo, s.precio as precioactual, c.fechamodificacion, c.precio
-from src_changes c, src_supplied s, src_catalogue a
-where c.codigoarticuloproveedor = s.codigo and s.codigoarticulo = a.codigoarticulo and a.activo = 1""",
+from src_changes c
+join src_supplied s on c.codigoarticuloproveedor = s.codigo
+join src_catalogue a on s.codigoarticulo = a.codigoarticulo
+where a.activo = 1""",
     "raw_rubros": """
 select r.codigorubro as codigo_rubro, r.codigosuperrubro as codigo_super_rubro,
   coalesce(u.descripcion, 'SIN SUPERRUBRO') as descripcion_super_rubro,
@@ -140,21 +142,25 @@ select *,
   case when is_rated and list_value is not null then 'GM_DESCONTADO'
        when es_cuenta_secundaria then 'SECUNDARIA_CERO' else 'PRECIO_ESTANDAR' end as metodo_precio
 from rated""",
+    # The branch of a point of sale, in some cases of one deposit only.
+    "branches": """
+select * from (values
+  (1, null, 'BA'), (19, null, 'BA'), (8888, '001', 'BA'),
+  (7, null, 'MDP'), (18, null, 'MDP'), (2222, '003', 'MDP'),
+  (6, null, 'PICO'), (17, null, 'PICO'), (2222, '001', 'PICO'),
+  (8, null, 'ROSARIO'), (109, null, 'ROSARIO'), (8888, '002', 'ROSARIO')
+) as t(point_of_sale, deposit, branch)""",
     "breakdown": """
-select *,
-  case nro_punto_venta
-    when 1 then 'BA' when 19 then 'BA' when 7 then 'MDP' when 18 then 'MDP'
-    when 6 then 'PICO' when 17 then 'PICO' when 8 then 'ROSARIO' when 109 then 'ROSARIO'
-    else coalesce(case concat(nro_punto_venta, '/', codigo_deposito_articulo)
-      when '8888/001' then 'BA' when '8888/002' then 'ROSARIO'
-      when '2222/001' then 'PICO' when '2222/003' then 'MDP' end, 'UNKNOWN') end as sucursal,
+select calculated.*,
+  coalesce(b.branch, 'UNKNOWN') as sucursal,
   if(es_venta_gm, cantidad_articulo, 0) as gm_cantidad,
   if(es_venta_gm, precio_final, 0) as gm_monto,
   if(not es_venta_gm and tipo_consumo = 'DS', cantidad_articulo, 0) as ds_cantidad,
   if(not es_venta_gm and tipo_consumo = 'DS', precio_final, 0) as ds_monto,
   if(not es_venta_gm and tipo_consumo = 'PPAL', cantidad_articulo, 0) as ppal_cantidad,
   if(not es_venta_gm and tipo_consumo = 'PPAL', precio_final, 0) as ppal_monto
-from calculated""",
+from calculated left join branches b on b.point_of_sale = nro_punto_venta
+  and (b.deposit is null or b.deposit = codigo_deposito_articulo)""",
     "fact": """
 select tipo_comprobante as voucher_type, numero_comprobante as voucher_number, fuente as source,
   nro_punto_venta as point_of_sale, codigo_deposito_articulo as deposit_code, sucursal as branch,

@@ -22,15 +22,18 @@ STR, DBL, INT, LONG, BOOL, TS = (
     StringType(), DoubleType(), IntegerType(), LongType(), BooleanType(), TimestampNTZType(),
 )
 
-# Staged amounts and quantities, and the discount percentage.
-AMOUNT = DecimalType(18, 4)
-PERCENT = DecimalType(9, 4)
+# Staged amounts and quantities, and the discount percentage. Source amounts are doubles, of which
+# eight fraction digits are kept; a number beyond the integer digits stops the job.
+AMOUNT = DecimalType(22, 8)
+PERCENT = DecimalType(20, 10)
 
 
 def _struct(**fields: DataType) -> StructType:
     return StructType([StructField(name, dtype) for name, dtype in fields.items()])
 
 
+# Fixed values from here on: table columns and document fields must be those of the sources.
+
 # --- nested documents of the client and product services -------------------------------
 
 CONDITIONS = _struct(condicion=STR, dias=INT, limiteMonto=DBL, monto=DBL, plan=INT)
@@ -131,6 +134,7 @@ SORTED_BY: dict[str, tuple[str, ...]] = {
 
 # --- mart ----------------------------------------------------------------------------------
 
+# The columns of the fact table, in order.
 FCT_SALES_COLUMNS = (
     "voucher_type", "voucher_number", "source", "point_of_sale", "deposit_code", "branch",
     "consumption_type",

@@ -17,6 +17,7 @@ from tallysheet.schemas import (
     SUB_BRANCHES,
     conform,
 )
+from tallysheet.scratch import scratch_dir
 
 
 class EmptySource(ValueError):
@@ -27,11 +28,37 @@ class IncompletePages(ValueError):
     """The landed page set has a gap or stops early."""
 
 
+# The number in the name of a page's file, and the one in the link to its successor.
+FILE_NUMBER = r"(\d+)\D*$"
+LINK_NUMBER = r"page[^=&]*=(\d+)"
+
+
 def read_api_pages(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    multi_line: bool = True,
+    file_number: str = FILE_NUMBER,
+    link_number: str = LINK_NUMBER,
 ) -> DataFrame:
-    """Landed pages, one row per page. ``multi_line=False`` reads one page per text line."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    """Landed pages, one row per page, parsed once and kept as a table in the shared folder.
+    ``multi_line=False`` reads one page per text line.
+
+    A body holds ``data`` and ``links``. The page number is not part of it, so it comes from the name
+    of the file (one page to a file), else from the link: the page that names n + 1 as its successor
+    is n, and a page without successor follows the last one named. A ``page`` in the body goes first.
+    """
+    read = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    named = F.lit(None).cast("int")
+    if multi_line:
+        named = F.regexp_extract("_metadata.file_name", file_number, 1).try_cast("int")
+    linked = F.regexp_extract(F.coalesce("links.next", F.lit("")), link_number, 1).try_cast("int")
+    number = F.coalesce("page", named, linked - 1)
+    landed = scratch_dir(spark, "pages")
+    read.withColumns({"page": number, "_successor": linked}).write.parquet(landed)
+    pages = spark.read.parquet(landed)
+    last = F.broadcast(pages.agg(F.coalesce(F.max("_successor"), F.lit(1)).alias("_last")))
+    return pages.crossJoin(last).select(F.coalesce("page", "_last").alias("page"), "data", "links")
 
 
 def resources(pages: DataFrame) -> DataFrame:

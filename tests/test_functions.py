@@ -11,6 +11,7 @@ from tallysheet.functions import (
     discount_text,
     in_window,
     month_key,
+    to_amount,
     to_whole,
 )
 
@@ -37,6 +38,22 @@ def test_discount_text(spark, text, number, pct):
     assert row.p == pct
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_no_digits_are_cut(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(0.00004, "123456"), (12.34567, "33.33335"), (1.23456789, "7."), (float("nan"), ".5")], "v double, t string")
+        got = df.select(to_amount("v"), discount_percent("t")).collect()
+        assert [r[0] for r in got] == [Decimal("0.00004"), Decimal("12.34567"), Decimal("1.23456789"), None]
+        assert [r[1] for r in got] == [Decimal(123456), Decimal("33.33335"), Decimal(7), Decimal("0.5")]
+        for bad in (df.select(to_amount(F.col("v") * 1e15)), df.select(discount_percent(F.repeat("t", 4)))):
+            with pytest.raises(Exception, match="out of range"):
+                bad.where("t = '123456' or true").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_halves_round_to_even(spark):
     df = spark.createDataFrame([(v,) for v in (2.5, 3.5, 3.7, -2.5, None)], "v double")
     assert [r[0] for r in df.select(to_whole("v")).collect()] == [2, 4, 4, -2, None]

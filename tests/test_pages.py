@@ -84,6 +84,37 @@ def test_page_set(spark, tmp_path, pages, ok):
             check_pages(landed)
 
 
+@pytest.mark.parametrize(
+    "pages, ok",
+    [
+        ([(1, [BARE], "/v1?page=2"), (2, [BARE], "/v1?page=3"), (3, [BARE], None)], True),
+        ([(1, [BARE], None)], True),
+        ([(1, [BARE], "/v1?page=2"), (3, [BARE], None)], False),
+        ([(1, [BARE], "/v1?page=2")], False),
+        ([(1, [BARE], None), (2, [BARE], None)], False),
+    ],
+)
+def test_bodies_of_data_and_links_only(spark, tmp_path, pages, ok):
+    """The number comes from the file name, or, many pages to a file, from the link."""
+    bodies = [(n, {"data": items, "links": {"next": link} if link else {}}) for n, items, link in pages]
+    files, lines = tmp_path / "files", tmp_path / "lines"
+    files.mkdir()
+    lines.mkdir()
+    for n, body in bodies:
+        (files / f"clients-{n:03d}.json").write_text(json.dumps(body, indent=2))
+    (lines / "all.json").write_text("\n".join(json.dumps(body) for _, body in bodies))
+    landed = [read_api_pages(spark, str(files), CLIENT_PAGE)]
+    if len(pages) != 2 or ok:
+        landed.append(read_api_pages(spark, str(lines), CLIENT_PAGE, multi_line=False))
+    for found in landed:
+        if ok:
+            check_pages(found)
+            assert sorted(r.page for r in found.select("page").collect()) == [n for n, _, _ in pages]
+        else:
+            with pytest.raises(IncompletePages):
+                check_pages(found)
+
+
 def test_no_resources_is_an_error(spark, tmp_path):
     with pytest.raises(EmptySource):
         read_clients(spark, land(tmp_path, (1, [], None)))

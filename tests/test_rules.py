@@ -224,7 +224,7 @@ def test_labels_filter_and_rollup(spark):
 def test_staging_types(spark):
     sales = stg_sales(spark.createDataFrame([], RAW_SALES))
     kinds = dict(sales.dtypes)
-    assert kinds["numero_comprobante"] == "bigint" and kinds["cantidad_articulo"] == "decimal(18,4)"
+    assert kinds["numero_comprobante"] == "bigint" and kinds["cantidad_articulo"] == "decimal(22,8)"
     staged = stg_clients(spark.createDataFrame([], RAW_CLIENTS))
     kinds = dict(staged.dtypes)
     assert kinds["contrareembolso"] == "boolean" and kinds["es_gm"] == "boolean"
