@@ -1,6 +1,6 @@
 """Toxicity by multiple-instance learning: sentences are instances, documents are bags.
 
-A sentence scores p = sigmoid(bias + weights of its distinct features); a document is toxic with the
+A sentence scores p = sigmoid(bias + weights of the features of its distinct words); a document is toxic with the
 noisy-or 1 - prod(1 - p). Only documents are labelled; the gradient of the document likelihood trains the
 sentence weights, so that offending sentences can be located. Features are the words and their beginnings
 (4 to 6 letters), hashed; those that do not tell labels apart in the sample are left out.
@@ -97,56 +97,59 @@ def log_odds(docs: DataFrame, training: Training) -> tuple[list[int], np.ndarray
     return [r["feature"] for r in kept], np.array([r["odds"] for r in kept])
 
 
+class _Memory(dict):
+    """What a function gave for the words met so far; emptied when it is full."""
+
+    def __init__(self, of, most: int = 300_000):
+        super().__init__()
+        self.of, self.most = of, most
+
+    def __missing__(self, word):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = self.of(word)
+        return value
+
+
 class Model:
-    """Weights by feature, and a memory of the words met so far."""
+    """Weights by feature."""
 
     def __init__(self, features: list[int], weights: np.ndarray, training: Training):
         self.index = {f: i for i, f in enumerate(features)}
         self.weights = weights
         self.training = training
         self.bias = float(np.log(training.prior / (1 - training.prior)))
-        self._words: dict[str, tuple[int, ...]] = {}
-
-    def known(self, word: str) -> tuple[int, ...]:
-        """Indices of the features of a word that the model has."""
-        got = self._words.get(word)
-        if got is None:
-            if len(self._words) > 300_000:
-                self._words.clear()
-            got = tuple(i for f in word_features(word, self.training) if (i := self.index.get(f)) is not None)
-            self._words[word] = got
-        return got
-
-    def instances(self, text: str) -> list[tuple[int, int, list[int]]]:
-        """Bounds of each sentence with a letter, and the distinct known features in it."""
+        self._known = _Memory(self._indices)
+        self._weight = _Memory(lambda word: sum(float(self.weights[i]) for i in self._indices(word)))
+
+    def _indices(self, word: str) -> list[int]:
+        return [i for f in word_features(word, self.training) if (i := self.index.get(f)) is not None]
+
+    def instances(self, text: str) -> list[list[int]]:
+        """Indices of the known features of each sentence with a letter, once for each distinct word."""
+        found = [set(_WORD.findall(s)) for s in _SENTENCE.findall(text.lower())]
+        return [[i for w in sorted(words) for i in self._known[w]] for words in found if words]
+
+    def _logits(self, text: str) -> np.ndarray:
+        weight, words = self._weight.__getitem__, _WORD.findall
+        found = [set(words(s)) for s in _SENTENCE.findall(text.lower())]
+        return np.array([sum(map(weight, own)) for own in found if own]) + self.bias
+
+    def sentence_scores(self, text: str) -> list[tuple[int, int, float]]:
+        """Bounds and score of each sentence with a letter."""
         out = []
-        low = text.lower()
-        if len(low) != len(text):  # a few capital letters have two lower-case ones
-            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
         for a, b in sentences(text):
-            words = set(_WORD.findall(low, a, b))
-            if words:
-                out.append((a, b, sorted({i for w in words for i in self.known(w)})))
+            z = self._logits(text[a:b])
+            if len(z):
+                out.append((a, b, float(1 / (1 + np.exp(-np.clip(z[0], -50, 50))))))
         return out
 
-    def sentence_scores(self, text: str) -> list[tuple[int, int, float]]:
-        z = [(a, b, self.bias + sum(self.weights[i] for i in own)) for a, b, own in self.instances(text)]
-        return [(a, b, float(1 / (1 + np.exp(-min(max(x, -50.0), 50.0))))) for a, b, x in z]
-
-    def score(self, text: str | None) -> float:
-        """Noisy-or over the sentences; those without known features count by their number."""
-        if not text:
-            return 0.0
-        log_clean = 0.0
-        plain = 0
-        for _, _, own in self.instances(text):
-            if own:
-                z = self.bias + sum(self.weights[i] for i in own)
-                log_clean -= z + np.log1p(np.exp(-z)) if z > 0 else np.log1p(np.exp(z))
-            else:
-                plain += 1
-        log_clean += plain * np.log1p(-self.training.prior)
-        return float(-np.expm1(log_clean))
+    def score(self, text: str | None) -> tuple[float, float]:
+        """Noisy-or over the sentences, and the largest score of a sentence."""
+        z = self._logits(text) if text else ()
+        if not len(z):
+            return 0.0, 0.0
+        return float(-np.expm1(-np.logaddexp(0, z).sum())), float(1 / (1 + np.exp(-np.clip(z.max(), -50, 50))))
 
 
 def _gradient(bags: DataFrame, weights: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
@@ -198,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = DEFAULT) -> M
         for batch in batches:
             label, weight, index, size = [], [], [], []
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                bag = [i for _, _, i in own.instances(t or "")]
+                bag = own.instances(t or "")
                 if bag:
                     label.append(y)
                     weight.append(1.0 / sizes[y])
@@ -237,9 +240,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", with_sentences: boo
         for batch in batches:
             texts = batch.column(at).to_pylist()
             s = [own.score(t) for t in texts]
-            columns = [pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32())]
+            columns = [pa.array([x for x, _ in s], pa.float64()), pa.array([int(x >= 0.5) for x, _ in s], pa.int32())]
             if with_sentences:
-                found = [[{"start": a, "end": b, "score": x} for a, b, x in own.sentence_scores(t or "") if x >= 0.5] for t in texts]
+                # Bounds are looked up where a sentence offends only.
+                found = [
+                    [{"start": a, "end": b, "score": x} for a, b, x in own.sentence_scores(t) if x >= 0.5] if most >= 0.5 else []
+                    for t, (_, most) in zip(texts, s, strict=True)
+                ]
                 columns.append(pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.fieldNames())
 

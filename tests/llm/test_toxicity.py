@@ -41,7 +41,8 @@ def test_documents_and_offending_sentences(spark, make_docs, model):
 def test_noisy_or(model):
     text = "You are a grobnik. The river. What a grobnikly thing\nbread"
     clean = np.prod([1 - s for _, _, s in model.sentence_scores(text)])
-    assert model.score(text) == pytest.approx(1 - clean, rel=1e-6)
+    assert model.score(text)[0] == pytest.approx(1 - clean, rel=1e-6)
+    assert model.score(text)[1] == pytest.approx(max(s for _, _, s in model.sentence_scores(text)))
 
 
 def test_gradient_against_differences(spark):
@@ -88,4 +89,4 @@ def test_labels_with_nulls_and_repeats(spark, make_docs):
     rows, labels = _corpus()
     labels = [*labels, (None, 1), (5, None), (4, 0)]
     found = toxicity.train(make_docs([*rows, (None, "x")]), spark.createDataFrame(labels, "doc_id long, toxic int"))
-    assert found.score(BAD[0]) > 0.5
+    assert found.score(BAD[0])[0] > 0.5
