@@ -13,7 +13,7 @@ from tallysheet.operators.mart import fct_sales
 from tallysheet.operators.prices import price_at_sale
 from tallysheet.operators.pricing import branch, breakdown, final_price
 from tallysheet.operators.staging import STAGING
-from tallysheet.sources.tables import Catalog, raw
+from tallysheet.sources.tables import Catalog, raw, register
 
 
 @dataclass(frozen=True)
@@ -79,6 +79,13 @@ def intermediate_models(s: Staged, rules: Rules = DEFAULT_RULES) -> dict[str, Da
     }
 
 
+def register_models(s: Staged, rules: Rules = DEFAULT_RULES) -> list[str]:
+    """Expose the staged and intermediate models as temporary views under their names; nothing is
+    computed. Returns the names."""
+    models = s.models() | intermediate_models(s, rules)
+    return [name for name, df in models.items() if register(df, name) is df]
+
+
 def models_to_check(s: Staged, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
     """The same models for the checks. Every one from the account join on has the same rows, and
     the last has all the columns, so the checks read that one instead of each in turn."""

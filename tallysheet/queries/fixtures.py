@@ -6,6 +6,9 @@ secondary and missing accounts, malformed codes, articles without a price histor
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -147,8 +150,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One source-side table; each derives from a single supplied table (``part`` if not listed)."""
     base = BASE.get(name, "part")
-    table(spark, sf_dir, base).createOrReplaceTempView(base)
-    return spark.sql(SOURCE_SQL[name])
+    # Under a name of its own, gone again once the plan is made: the caller's views are left alone.
+    view = f"{base}_{uuid.uuid4().hex}"
+    table(spark, sf_dir, base).createOrReplaceTempView(view)
+    try:
+        return spark.sql(re.sub(rf"\b(from|join) {base}\b", rf"\1 {view}", SOURCE_SQL[name]))
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 # All four sources in one pass: the tag joins the voucher key and both constants are columns.

@@ -8,19 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallysheet.config import DEFAULT_RULES, Rules, SalesSource
 from tallysheet.sources.extract import Window, extract_sales, lower_columns, union_sources
-from tallysheet.sources.jdbc import JdbcSource, body_query, header_query, read_jdbc
+from tallysheet.sources.jdbc import JdbcSource, Split, body_query, header_query, read_jdbc
 
 # Gives the header and body DataFrames of one source.
 VoucherReader = Callable[[SalesSource, Window | None], tuple[DataFrame, DataFrame]]
 
 
-def jdbc_reader(spark: SparkSession, db: JdbcSource, rules: Rules = DEFAULT_RULES) -> VoucherReader:
+def jdbc_reader(
+    spark: SparkSession, db: JdbcSource, rules: Rules = DEFAULT_RULES, split: Split | None = None
+) -> VoucherReader:
+    """Vouchers of a database. ``split`` cuts both scans by a numeric column that header and body
+    share, the voucher number say, into as many connections as the source tolerates; without it each
+    scan is one connection and one task."""
+
     def read(source: SalesSource, window: Window | None) -> tuple[DataFrame, DataFrame]:
         if window is None:
             heads, lines = source.header, source.body
         else:
             heads, lines = header_query(source, window, rules), body_query(source, window, rules)
-        return read_jdbc(spark, db, heads), read_jdbc(spark, db, lines)
+        return read_jdbc(spark, db, heads, split), read_jdbc(spark, db, lines, split)
 
     return read
 

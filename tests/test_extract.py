@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 
 from tallysheet.config import SALES_SOURCES
+from tallysheet.plans.feeds import jdbc_feeds
 from tallysheet.schemas import RAW_SALES
 from tallysheet.sources.extract import (
     Window,
@@ -21,7 +22,7 @@ from tallysheet.sources.jdbc import (
     jdbc_options,
     mysql,
 )
-from tallysheet.sources.sales import read_all_sales, table_reader
+from tallysheet.sources.sales import jdbc_reader, read_all_sales, table_reader
 from tests.conftest import rows
 
 HEADER = (
@@ -151,3 +152,52 @@ def test_source_queries_narrow_by_date_and_quote():
 def test_window_rejects_unknown_closure():
     with pytest.raises(ValueError):
         Window("2024-01-01", "2024-02-01", "neither").covers("x")
+
+
+def test_feeds_read_their_tables(spark, monkeypatch):
+    """The readers with the database taken out: a table name or query gives a small frame."""
+    asked = []
+    when = datetime(2024, 1, 5, 10)
+    stored = {
+        "RUBROS": ([("r", "s")], "CODIGORUBRO string, CODIGOSUPERRUBRO string"),
+        "UNIDADESXRUBRO": ([("s", "Super", 2.0)], "CODIGOSUPERRUBRO string, DESCRIPCION string, UNIDADES double"),
+        "Vendedores": ([("1", "Ana", 1), ("2", "Bo", 0)], "codigovendedor string, razonsocialvend string, activo int"),
+        "MarcasxLineas": ([(1, "m", "l")], "id int, marca_id string, linea_id string"),
+        "Marcas": ([("m", "Brand")], "MARCA_ID string, MARCA string"),
+        "Lineas": ([("l", "Line")], "LINEA_ID string, LINEA string"),
+        "ARTICULOS": ([("a", 1), ("b", 0)], "CODIGOARTICULO string, ACTIVO int"),
+        "ARTICULOSPROVEEDOR": ([("p", "a", 9.0), ("q", "b", 8.0)], "CODIGO string, CODIGOARTICULO string, PRECIO double"),
+        "CAMBIOSDEPRECIOPROVEEDOR": (
+            [("p", when, 7.0), ("q", when, 6.0), ("p", datetime(2024, 2, 1), 5.0)],
+            "CODIGOARTICULOPROVEEDOR string, FECHAMODIFICACION timestamp_ntz, PRECIO double",
+        ),
+    }
+
+    def fake(spark, db, query, split=None):
+        asked.append((query, split))
+        return spark.createDataFrame(*stored[query])
+
+    monkeypatch.setattr("tallysheet.plans.feeds.read_jdbc", fake)
+    db = mysql("h", "d", "u", "p")
+    feeds = jdbc_feeds(spark, db, firebird("h", "/p.fdb", "u", "s"), "/clients", "/products")
+    window = Window("2024-01-01 00:00:00", "2024-02-01 00:00:00")
+    assert rows(feeds.sellers()) == [("1", "Ana")]
+    assert rows(feeds.rubros()) == [("r", "s", "Super", 2.0)]
+    assert rows(feeds.marcas_lineas()) == [(1, "m", "Brand", "l", "Line")]
+    assert rows(feeds.prices(window)) == [("a", 9.0, when, 7.0)]
+    assert {q for q, _ in asked} == set(stored)
+
+
+def test_voucher_scans_are_split(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr("tallysheet.sources.sales.read_jdbc", lambda spark, db, query, split=None: asked.append((query, split)))
+    split = Split("NUMEROCOMPROBANTE", "0", "1000", 3)
+    source = SALES_SOURCES[0]
+    jdbc_reader(spark, mysql("h", "d", "u", "p"), split=split)(source, None)
+    assert asked == [(source.header, split), (source.body, split)]
+
+
+def test_last_day_of_a_window_counts_to_its_end(spark):
+    df = spark.createDataFrame([(datetime(2024, 3, 31, 10),), (datetime(2024, 4, 1),)], "day timestamp_ntz")
+    window = Window("2024-03-01 00:00:00", "2024-03-31 14:30:00")
+    assert df.where(window.covers_day("day")).count() == 1

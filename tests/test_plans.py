@@ -7,7 +7,7 @@ from tallysheet.config import SALES_SOURCES, Rules
 from tallysheet.operators.asof import asof_join
 from tallysheet.operators.lookup import lookup, stored_bytes
 from tallysheet.operators.prices import price_at_sale
-from tallysheet.plans.fact import build_fact
+from tallysheet.plans.fact import build_fact, register_models
 from tallysheet.queries import fixtures as fx
 from tallysheet.scratch import scratch_dir
 from tallysheet.sinks.tables import write_mart
@@ -132,6 +132,15 @@ def test_building_the_fact_runs_no_job(spark, tables):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_models_are_registered_and_the_callers_views_left_alone(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    names = register_models(fx.staged_tables(spark, SF), fx.RULES)
+    assert len(names) == 13 and spark.table("int_sales_breakdown").columns
+    assert spark.table("orders").columns == ["id"]
+    for name in [*names, "orders"]:
+        spark.catalog.dropTempView(name)
+
+
 def test_changes_and_edges_are_aggregated_by_hash(spark, tables):
     plan = plan_of(asof_join(tables.sales, tables.price_history, ["codigo_articulo"], "fecha_comprobante", "fecha_modificacion", ["precio_cambio"]))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
