@@ -1,7 +1,9 @@
 """The supplied tables seen as source-side tables.
 
-The same SQL text runs in Spark and in DuckDB. Column values are derived so that every rule is exercised: voided vouchers, unknown types, excluded articles,
-secondary and missing accounts, malformed codes, articles without a price history.
+The same SQL text runs in Spark and in DuckDB. Column values are derived so that every rule is
+exercised: vouchers that are voided or not known to be, repeated voucher numbers with two dates, halves as
+numbers, unknown types, excluded articles, secondary and missing accounts, malformed codes, articles with
+several suppliers and with no price history.
 """
 
 from __future__ import annotations
@@ -35,27 +37,35 @@ _TYPE = (
     " when 2 then 'NCA' when 3 then 'NCB' when 4 then 'NDA' when 5 then 'NDB' else 'XX' end end"
 )
 
+# Some numbers are halves: they round to the even neighbour.
+_NUMBER = "cast({k} as double) + case when {k} % 61 = 0 then 0.5 else 0.0 end"
+
 SOURCE_SQL: dict[str, str] = {
     "src_header": f"""
 select {_DB.format(k='o_orderkey')} as db,
   case when o_orderkey % 2 = 0 then 'DS' else 'PPAL' end as tipo_consumo,
   {_TYPE.format(k='o_orderkey')} as tipocomprobante,
-  cast(o_orderkey as double) as numerocomprobante,
+  {_NUMBER.format(k='o_orderkey')} as numerocomprobante,
   cast(case o_orderkey % 13 when 0 then 17 when 1 then 18 when 2 then 19 when 3 then 109
        when 4 then 17 when 5 then 1 when 6 then 6 when 7 then 7 when 8 then 8 when 9 then 8888
        when 10 then 8888 when 11 then 2222 else 99 end as bigint) as nropuntodeventa,
-  cast(o_orderdate as date) as fechacomprobante,
+  day as fechacomprobante,
   concat(lpad(cast(o_orderkey % 24 as string), 2, '0'), ':',
          lpad(cast(o_orderkey % 60 as string), 2, '0'), ':00') as hora,
   cast(o_custkey as string) as codigocliente,
   concat('Client ', cast(o_custkey as string)) as razonsocial,
   cast(o_orderkey % 5 as double) as descuentoporcentaje,
-  case when o_orderkey % 37 = 0 then 1 else 0 end as anulada
-from orders""",
+  case when o_orderkey % 37 = 0 then 1 when o_orderkey % 47 = 0 then null else 0 end as anulada
+from (
+  select o_orderkey, o_custkey, cast(o_orderdate as date) as day from orders
+  union all
+  select o_orderkey, o_custkey, cast(cast(o_orderdate as date) + interval '40' day as date) as day
+  from orders where o_orderkey % 59 = 0 and o_orderdate < date '1998-01-01'
+) as o""",
     "src_body": f"""
 select {_DB.format(k='l_orderkey')} as db,
   {_TYPE.format(k='l_orderkey')} as tipocomprobante,
-  cast(l_orderkey as double) as numerocomprobante,
+  {_NUMBER.format(k='l_orderkey')} as numerocomprobante,
   cast(l_partkey as string) as codigoarticulo,
   concat('P', cast(l_partkey as string)) as codigoparticular,
   concat('Voucher text ', cast(l_partkey as string)) as descripcion,
@@ -120,11 +130,19 @@ from part""",
     "src_supplied": """
 select concat('S', cast(p_partkey as string)) as codigo, cast(p_partkey as string) as codigoarticulo,
   p_retailprice as precio
-from part""",
+from part
+union all
+select concat('T', cast(p_partkey as string)) as codigo, cast(p_partkey as string) as codigoarticulo,
+  p_retailprice + 1.5 as precio
+from part where p_partkey % 4 = 0""",
     "src_changes": """
 select concat('S', cast(l_partkey as string)) as codigoarticuloproveedor,
   l_shipdate as fechamodificacion, l_extendedprice as precio
-from lineitem""",
+from lineitem where not (l_partkey % 4 = 0 and l_linenumber = 2)
+union all
+select concat('T', cast(l_partkey as string)) as codigoarticuloproveedor,
+  l_shipdate as fechamodificacion, l_extendedprice + 0.125 as precio
+from lineitem where l_partkey % 4 = 0 and l_linenumber in (2, 4)""",
 }
 
 BASE = {
