@@ -129,7 +129,9 @@ def components(edges: DataFrame) -> DataFrame:
     before = state.agg(*summary).first()
     while before["n"]:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Stored, so that both sides of the join are shuffled for it, and adaptive execution can split the
+        # edges of a node that a large part of all nodes points to.
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pointed = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
