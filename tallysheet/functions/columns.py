@@ -28,9 +28,9 @@ def to_whole(c: Name) -> Column:
 def fitted(c: Column, dtype: DataType, what: str) -> Column:
     """``c`` cast to a narrower number. A value that does not fit stops the job, whatever the session's
     ANSI setting says."""
-    cast = c.try_cast(dtype)
     message = F.concat(F.lit(f"{what} out of range: "), c.cast("string"))
-    return F.when(c.isNotNull() & cast.isNull(), F.raise_error(message)).otherwise(cast)
+    # The cast, which is dear, is made once; only a null result is looked at again.
+    return F.coalesce(c.try_cast(dtype), F.when(c.isNotNull(), F.raise_error(message).cast(dtype)))
 
 
 def to_amount(c: Name) -> Column:
