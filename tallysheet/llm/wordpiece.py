@@ -3,10 +3,12 @@
 The vocabulary is a trie. Every node knows how many tokens greedy longest-match cuts off when the
 text leaves the trie there (popped tokens) and the node of what is left (failure link), so that a word
 is counted in one pass, without building pieces and without going back. Word ends are a symbol of
-their own: tokens with the end suffix match only there.
+their own: tokens with the end suffix match only there. A token without it never takes the last symbol
+of a word: it is stepped back to the longest one that leaves something for the end. So every word is
+covered whole if all single symbols are tokens, with and without the suffix, as in byte-level vocabularies.
 
-Cases: null and empty texts have 0 words and 0 tokens. A word that the vocabulary cannot cut up counts as
-one token. Whole texts are read, words of any length in linear time. Repeated rows are counted each for
+Cases: null and empty texts have 0 words and 0 tokens. Only a word that the vocabulary cannot cover counts
+as one token whatever its length; byte-level vocabularies have none. Whole texts are read, words of any length in linear time. Repeated rows are counted each for
 itself, ids may be null, empty tables give empty results. Columns that have the name of a column added
 here are replaced.
 """
@@ -41,7 +43,7 @@ def byte_symbols() -> list[str]:
 
 
 class Automaton:
-    """Trie, failure links and popped-token counts of a vocabulary. Node 0 is the root."""
+    """Trie, failure links, popped-token counts and counts at word ends of a vocabulary. Node 0 is the root."""
 
     def __init__(self, vocabulary: Iterable[str], end: str = END):
         self.next: list[dict[str, int]] = [{}]
@@ -59,37 +61,51 @@ class Automaton:
         # -1 as failure link: greedy matching gets stuck.
         self.fail = [-1] * len(self.next)
         self.popped = [0] * len(self.next)
+        # Tokens of what is left at a node if the word ends there; -1: cannot be covered.
+        self.ending = [-1] * len(self.next)
         queue = deque([0])
         while queue:
             parent = queue.popleft()
             for symbol, node in self.next[parent].items():
                 queue.append(node)
-                if token[node]:
-                    self.fail[node], self.popped[node] = 0, 1
-                    continue
                 # What the parent would leave, continued by the symbol.
                 at, popped = self.fail[parent], self.popped[parent]
                 while at >= 0 and symbol not in self.next[at]:
                     at, popped = self.fail[at], popped + self.popped[at]
-                if at >= 0:
-                    self.fail[node], self.popped[node] = self.next[at][symbol], popped
+                left = self.next[at][symbol] if at >= 0 else -1
+                if end in self.next[node]:
+                    self.ending[node] = 1
+                elif left >= 0 and self.ending[left] >= 0:
+                    self.ending[node] = popped + self.ending[left]
+                if token[node]:
+                    self.fail[node], self.popped[node] = 0, 1
+                elif left >= 0:
+                    self.fail[node], self.popped[node] = left, popped
 
-    def count(self, symbols: Iterable[str]) -> int:
-        """Tokens of a word; 1 if it cannot be cut up."""
+    def _walk(self, symbols: Iterable[str]) -> tuple[int, int]:
+        """(node after the symbols, -1 if stuck; tokens cut off before what is left there)."""
         node, n = 0, 0
         for s in symbols:
             while (follower := self.next[node].get(s)) is None:
                 n += self.popped[node]
                 node = self.fail[node]
                 if node < 0:
-                    return 1
+                    return node, n
             node = follower
-        while node:
+        return node, n
+
+    def count(self, symbols: Iterable[str]) -> int:
+        """Tokens of the symbols by plain longest match; 1 if that gets stuck."""
+        node, n = self._walk(symbols)
+        while node > 0:
             n += self.popped[node]
             node = self.fail[node]
-            if node < 0:
-                return 1
-        return n
+        return n if node == 0 else 1
+
+    def count_word(self, symbols: Iterable[str]) -> int:
+        """Tokens of a word, given without the end symbol; 1 if it cannot be covered."""
+        node, n = self._walk(symbols)
+        return n + self.ending[node] if node > 0 and self.ending[node] >= 0 else 1
 
 
 class Counter:
@@ -104,7 +120,7 @@ class Counter:
     def word(self, chunk: bytes) -> int:
         text = unicodedata.normalize("NFC", chunk.decode()).lower()
         symbols = self.symbols
-        return sum(self.automaton.count([*(symbols[b] for b in w.encode()), END]) for w in WORD.findall(text))
+        return sum(self.automaton.count_word([symbols[b] for b in w.encode()]) for w in WORD.findall(text))
 
     def count(self, text: str | None) -> tuple[int, int]:
         """(words between separators, tokens)."""

@@ -72,3 +72,52 @@ def test_cases(spark, make_docs):
         (0, 1, 1), (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 2, 2), (4, 2, 2),
     ]
     assert wordpiece.count_tokens(make_docs([]), WORD_BPE).collect() == []
+
+
+def _covering(word, vocabulary):
+    """Longest match first; a piece without the end never takes the last symbol. None if stuck."""
+    symbols, at, n = [*word, wordpiece.END], 0, 0
+    while at < len(symbols):
+        ends = [e for e in range(len(symbols), at, -1) if e != len(word) and tuple(symbols[at:e]) in vocabulary]
+        if not ends:
+            return None
+        at, n = ends[0], n + 1
+    return n
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.sets(st.text("abc", min_size=1, max_size=5), max_size=12),
+    st.sets(st.text("abc", min_size=1, max_size=4), max_size=8),
+    st.booleans(),
+    st.text("abc", min_size=1, max_size=14),
+)
+def test_words_are_covered_to_their_end(inner, final, all_symbols, word):
+    if all_symbols:
+        inner, final = inner | set("abc"), final | set("abc")
+    vocabulary = {tuple(v) for v in inner} | {(*v, wordpiece.END) for v in final}
+    automaton = wordpiece.Automaton([*inner, *(v + wordpiece.END for v in final)])
+    expected = _covering(word, vocabulary)
+    assert expected is not None or not all_symbols
+    assert automaton.count_word(word) == (1 if expected is None else expected)
+
+
+def test_query_covers_every_word(spark, small):
+    docs = {d["doc_id"]: d["text"] or "" for d in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    vocabulary, symbols, known = _vocabulary(), wordpiece.byte_symbols(), {}
+
+    def tokens(word):
+        if word not in known:
+            known[word] = _covering([symbols[b] for b in word.encode()], vocabulary)
+        return known[word]
+
+    rows = {r["doc_id"]: r["n_tokens"] for r in op5_token_counts(spark, small).collect()}
+    for doc_id in sorted(docs)[:80]:
+        text = unicodedata.normalize("NFC", docs[doc_id]).lower()
+        assert rows[doc_id] == sum(tokens(w) for w in wordpiece.WORD.findall(text))
+
+
+def test_long_runs_are_not_one_token():
+    counter = wordpiece.Counter(WORD_BPE)
+    assert counter.count("ciónciónciónue")[1] > 1
+    assert counter.count("-" * 5_000)[1] > 100
