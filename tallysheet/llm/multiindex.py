@@ -105,25 +105,33 @@ def visit(near: tuple[np.ndarray, np.ndarray], counts: np.ndarray, enough: int)
 
 
 def _exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Cosine in double precision of each row with each of its candidates (queries, k, dim)."""
-    dot = (queries[:, None, :] * rows).sum(axis=2)
-    return dot / (np.sqrt((queries * queries).sum(axis=1))[:, None] * np.sqrt((rows * rows).sum(axis=2)))
+    """Cosine in double precision of pairs of rows."""
+    dot = (queries * rows).sum(axis=1)
+    return dot / (np.sqrt((queries * queries).sum(axis=1)) * np.sqrt((rows * rows).sum(axis=1)))
 
 
 def best_of(query_ids, queries: np.ndarray, allowed: np.ndarray | None, rows: np.ndarray, ids: list, k: int):
     """The ``k`` nearest of the rows for each query: (query id, vec id, score, row). ``ids`` lists the
-    ids that share a row's vector, so that a row gives up to ``k`` neighbours."""
+    ids that share a row's vector, in order, so that a row gives up to ``k`` neighbours."""
     close = _unit(queries) @ _unit(rows).T
     if allowed is not None:
         close[~allowed] = -np.inf
-    # Own vectors take a place; some more absorb rounding among nearly equal ones.
-    m = min(len(rows), k + 8)
-    top = np.argpartition(-close, m - 1, axis=1)[:, :m]
-    scores = _exact(queries, rows[top])
-    scores[np.isneginf(np.take_along_axis(close, top, axis=1))] = -np.inf
+    # The own vector takes a place. All rows within rounding of the last one are compared exactly,
+    # however many there are, so that ties among parallel vectors are cut by id only.
+    m = min(len(rows), k + 1)
+    last = np.partition(close, len(rows) - m, axis=1)[:, len(rows) - m]
+    rounding = max(1e-12, 8 * rows.shape[1] * np.finfo(np.float64).eps)
+    at, row = np.nonzero((close >= (last - rounding)[:, None]) & (close > -np.inf))
+    cuts = range(0, len(at), 65_536)
+    scores = np.concatenate([np.zeros(0), *(_exact(queries[at[a : a + 65_536]], rows[row[a : a + 65_536]]) for a in cuts)])
+    # The k best neighbours are in the k + 1 first rows by score and least id: only the row with the
+    # query's own id can stand too far ahead.
+    order = np.lexsort((np.array([v[0] for v in ids], np.int64)[row], -scores, at))
+    bounds = np.searchsorted(at[order], np.arange(len(queries) + 1))
     out = []
-    for q, own, score in zip(query_ids, top.tolist(), scores.tolist(), strict=True):
-        found = sorted((-s, v, r) for r, s in zip(own, score, strict=True) if s > -np.inf for v in ids[r] if v != q)
+    for n, q in enumerate(query_ids):
+        own = order[bounds[n] : min(bounds[n + 1], bounds[n] + k + 1)]
+        found = sorted((-s, v, r) for r, s in zip(row[own].tolist(), scores[own].tolist(), strict=True) for v in ids[r] if v != q)
         out += [(q, v, -s, r) for s, v, r in found[:k]]
     return out
 

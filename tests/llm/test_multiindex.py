@@ -87,3 +87,19 @@ def test_heap_visits_cells_by_distance():
     assert set(visited) == {(i, j) for i, j in itertools.product(range(7), range(9)) if counts[i, j]}
     some = list(multiindex.visit(near, counts, 10))
     assert some == visited[: len(some)] and sum(counts[c] for c in some[:-1]) < 10 <= sum(counts[c] for c in some)
+
+
+def test_ties_among_parallel_vectors():
+    """More scaled copies than neighbours, in any order: the smallest ids win."""
+    rng = np.random.default_rng(3)
+    ids = rng.permutation(np.arange(1, 301)).tolist()
+    rows = np.array([[1.0, 2.0, 2.0]]) * 2.0 ** (np.array(ids) % 40)[:, None]
+    rows = np.concatenate([rows, rng.normal(size=(50, 3))])
+    lists = [[i] for i in ids] + [[1000 + i] for i in range(50)]
+    queries = np.array([[2.0, 4.0, 4.0], [2.0, 4.0, 4.0]])
+    found = multiindex.best_of([0, 3], queries, None, rows, lists, 5)
+    assert [(q, v) for q, v, _, _ in found] == [(0, v) for v in (1, 2, 3, 4, 5)] + [(3, v) for v in (1, 2, 4, 5, 6)]
+    assert all(abs(s - 1) < 1e-12 for _, _, s, _ in found)
+    allowed = np.zeros((2, len(rows)), bool)
+    allowed[0, 300:302] = True
+    assert {v for _, v, _, _ in multiindex.best_of([0, 3], queries, allowed, rows, lists, 5)} == {1000, 1001}
