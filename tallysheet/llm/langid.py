@@ -35,7 +35,7 @@ class LanguageModel:
     # The sample learned from: about so many documents of each language, by hash.
     docs_per_language: int = 2_000
     grams: tuple[int, ...] = (2, 3, 4)
-    # N-grams that fewer documents of the sample have are left out.
+    # N-grams that fewer documents of the sample have are left out (for a language that has fewer, its number).
     least_docs: int = 3
     # A language contains an n-gram if its share of documents there is at least this part of the largest share.
     part_of_largest: float = 0.2
@@ -129,6 +129,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
                     by.setdefault(l, []).append(np.unique(np.concatenate(found)))
             for l, found in by.items():
                 gram, n = np.unique(np.concatenate(found), return_counts=True)
+                # A null n-gram counts the documents that have any.
+                any_gram = sum(len(f) > 0 for f in found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([l], pa.string()), pa.array([None], pa.int64()), pa.array([any_gram], pa.int64())], ["lang", "gram", "n"]
+                )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([l] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))],
                     ["lang", "gram", "n"],
@@ -142,9 +147,15 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
         return Filters()
     docs_of = F.create_map([F.lit(x) for l in languages for x in (l, float(sizes[l]))])
     bit_of = F.create_map([F.lit(x) for b, l in enumerate(languages) for x in (l, b)])
+    # For a language with fewer documents, n-grams that as many documents as it has contain are enough.
+    learned = {r["lang"]: r["n"] for r in grams.where("gram is null").collect()}
+    least = {l: min(model.least_docs, learned.get(l) or model.least_docs) for l in languages}
+    least_of = F.create_map([F.lit(x) for l in languages for x in (l, least[l])])
+    grams = grams.where("gram is not null")
     share = F.col("n") / F.element_at(docs_of, F.col("lang"))
-    largest = grams.groupBy("gram").agg(F.max(share).alias("largest"), F.sum("n").alias("all")).where(F.col("all") >= model.least_docs)
-    held = grams.join(largest, "gram").where(share >= model.part_of_largest * F.col("largest"))
+    largest = grams.groupBy("gram").agg(F.max(share).alias("largest"), F.sum("n").alias("all")).where(F.col("all") >= min(least.values()))
+    enough = F.col("all") >= F.element_at(least_of, F.col("lang"))
+    held = grams.join(largest, "gram").where(enough & (share >= model.part_of_largest * F.col("largest")))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

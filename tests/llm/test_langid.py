@@ -81,3 +81,12 @@ def test_long_text_is_read_in_blocks():
     whole = langid.counts("ab cd " * 5000, filters, langid.DEFAULT)
     cut = langid.counts("ab cd " * 5000, filters, dataclasses.replace(langid.DEFAULT, block=600))
     assert whole[0] == whole[1][0] and cut[0] == cut[1][0] and abs(whole[0] - cut[0]) <= 100
+
+
+def test_languages_with_one_or_two_documents(spark, make_docs):
+    """Documents without letters are none to learn from."""
+    one, two = "ლამაზი ქალაქი მდინარის პირას", "ένα μικρό σπίτι κοντά στη θάλασσα"
+    extra = [(100, one, "ka"), (101, "12 34", "ka"), (102, None, "ka"), (103, two, "el"), (104, two + " και", "el"), (105, None, "xx")]
+    filters = langid.learn(_docs(make_docs, extra))
+    assert langid.predict(one, filters)[0] == "ka" and langid.predict(two, filters)[0] == "el"
+    assert langid.predict(EN, filters)[0] == "en" and langid.predict(DE, filters)[0] == "de"
