@@ -95,9 +95,9 @@ def tree_keys(grams: np.ndarray, forest: Forest, by: tuple[np.ndarray, np.ndarra
     return key.view(np.int64)
 
 
-def sign(docs: DataFrame, text: str, forest: Forest, keep_text: bool) -> DataFrame:
+def sign(docs: DataFrame, text: str, forest: Forest) -> DataFrame:
     """``docs`` with ``_set`` (a digest of the set; null without words) and ``_keys``."""
-    kept = [f for f in docs.schema.fields if keep_text or f.name != text]
+    kept = docs.schema.fields
     added = [T.StructField("_set", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType()))]
     schema = T.StructType([*kept, *added])
     names = [f.name for f in kept]
@@ -258,22 +258,19 @@ def verified(tasks: DataFrame, forest: Forest) -> DataFrame:
     return tasks.select(names).repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(compared, schema)
 
 
-def _payload(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, forest: Forest) -> DataFrame:
-    """Five-grams of one document of each class in ``wanted`` (node, _set, first_id, copies, ...)."""
-    rest = [f for f in wanted.schema.fields if f.name not in ("_set", "first_id")]
+def _payload(signed: DataFrame, text: str, wanted: DataFrame, forest: Forest) -> DataFrame:
+    """Five-grams of one document of each class in ``wanted`` (node, first_row, copies, ...), found by its
+    row number: ids may be null or repeated any number of times."""
+    rest = [f for f in wanted.schema.fields if f.name != "first_row"]
     schema = T.StructType([*rest, T.StructField("grams", T.BinaryType())])
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    joined = texts.join(wanted, F.col("_id").eqNullSafe(F.col("first_id"))).select(
-        "_text", "_set", *[f.name for f in rest]
-    )
+    texts = signed.select("_row", F.col(text).alias("_text"))
+    joined = texts.join(wanted, F.col("_row") == F.col("first_row")).select("_text", *[f.name for f in rest])
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [gram_hashes(t, forest.gram).tobytes() for t in batch.column(0).to_pylist()]
-            # Several documents may have the id; those of another class are left out.
-            own = [bool(g) and xxhash.xxh3_128_digest(g) == s for g, s in zip(sets, batch.column(1).to_pylist(), strict=True)]
-            columns = [*batch.columns[2:], pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames()).filter(pa.array(own))
+            columns = [*batch.columns[1:], pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return joined.mapInArrow(grams, schema)
 
@@ -290,14 +287,15 @@ def near_duplicates(
     included, and ``is_first``, true for one document of each such group (one with the least id).
     Documents without words have their own id and no links and are first."""
     docs = without(docs, (*ADDED, "_set", "_keys", "_row"))
-    signed = sign(docs, text, forest, keep_text).withColumn("_row", F.monotonically_increasing_id())
+    # The texts are stored with their row numbers, even if they are not handed back: see ``_payload``.
+    signed = sign(docs, text, forest).withColumn("_row", F.monotonically_increasing_id())
     signed = stored(signed, "signed")
     order = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_row")
     classes = (
         signed.where("_set is not null")
         .groupBy("_set")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("_keys").alias("keys"))
-        .select("_set", "first", F.col("first.id").alias("first_id"), "copies", "keys")
+        .select("_set", "first", F.col("first._row").alias("first_row"), "copies", "keys")
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = stored(classes, "classes")
@@ -309,7 +307,7 @@ def near_duplicates(
     candidates = roots.unionByName(sizes.select(F.col("root").alias("node"), "root")).join(sizes, "root")
     wanted = candidates.join(classes, "node")
     payload = stored(
-        _payload(docs, doc_id, text, wanted.select("node", "_set", "first_id", "copies", "keys", "root", "size"), forest),
+        _payload(signed, text, wanted.select("node", "first_row", "copies", "keys", "root", "size"), forest),
         "payload",
     )
     whole = payload.where(F.col("size") <= forest.large).select(
@@ -333,7 +331,7 @@ def near_duplicates(
     result = named.join(least, "root").select(
         "_set", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    out = [F.col(f"`{c}`") for c in signed.columns if c not in ("_set", "_keys", "_row")]
+    out = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text]
     alone = F.col("_set").isNull()
     return signed.drop("_keys").join(result, "_set", "left").select(
         *out,

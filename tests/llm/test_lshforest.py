@@ -124,3 +124,20 @@ def test_prefix_is_the_longest_with_the_recall():
     forest = lshforest.DEFAULT
     recall = lambda d: 1 - (1 - 0.8**d) ** forest.trees
     assert recall(forest.prefix()) >= forest.target_recall > recall(forest.prefix() + 1)
+
+
+def test_null_ids_do_not_meet_each_other(spark, make_docs, monkeypatch):
+    """No step reads more than a few rows a document, though all ids are null or the same."""
+    texts = _texts(5, [(2, 1)] * 40)
+    rows = [(None if i % 2 else 7, t) for i, t in enumerate(texts)]
+    docs, read = make_docs(rows), []
+    plain = type(docs).mapInArrow
+
+    def counted(self, *args, **kwargs):
+        read.append(self.count())
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counted)
+    found = lshforest.near_duplicates(docs, keep_text=False).select("doc_id", "class_id", "n_links").collect()
+    assert _sorted([tuple(r) for r in found]) == _sorted(_brute(rows))
+    assert max(read) <= 2 * len(rows)
