@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallysheet.llm import (
+    alignment,
     hostrules,
     langid,
     lshforest,
@@ -28,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # A parameter of the queries; on a cluster, the place where every executor has the file.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +104,13 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256", "spans")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    digest = lambda g: F.when(g == "", "").otherwise(F.sha2(g, 256))
+    aligned = alignment.align(docs, BYTE_BPE, PIECE_BPE, groups=digest)
+    return aligned.select("doc_id", *alignment.MEASURES[:-1], F.col("groups").alias("groups_sha256"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
@@ -112,6 +122,7 @@ _QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_personal_data": op10_personal_data,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 
