@@ -26,16 +26,18 @@ import json
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
-import tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallysheet.llm.counts import frequent_from
+from tallysheet.llm.remembered import ByteLevel, Rows
 from tallysheet.llm.tables import stored
 from tallysheet.llm.wordpiece import byte_symbols
 
@@ -44,14 +46,17 @@ SPACE = "▁"
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 # A single space between characters that are surely no white space: no token of either side goes across.
 CUT = re.compile(r"(?<=[!-~¡-ᙿ]) (?=[!-~¡-ᙿ])")
+# A chunk without spaces, cut at both ends.
+PLAIN = re.compile(r"[!-~¡-ᙿ](?:[^ ]*[!-~¡-ᙿ])?")
+# Distinct chunks whose ids a worker remembers, and characters that are encoded between two looks at it.
+REMEMBERED = 500_000
+CHARS = 2_000_000
 
 
 @dataclass(frozen=True)
 class Alignment:
     # Steps (ends of either side) in a piece of the merge.
     piece: int = 65_536
-    # Characters after which a text is cut for encoding, at the next safe place.
-    part: int = 65_536
     # Pairs that are looked up in memory (24 bytes each); the others are joined.
     frequent_pairs: int = 500_000
     # Distinct pairs that a task sums before it hands them on.
@@ -63,12 +68,10 @@ MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"
 
 
 class Encoders:
-    """Both tokenizers, and the bytes of their tokens."""
+    """Both tokenizers, the bytes of their tokens, and the ids of chunks of text met so far."""
 
-    def __init__(self, a_path: str, b_path: str):
-        self.a = tokenizers.Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
+    def __init__(self, a_path: str, b_path: str, remembered: int):
+        self.a = ByteLevel(a_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         with open(a_path, encoding="utf-8") as f:
             read = json.load(f)
@@ -78,28 +81,40 @@ class Encoders:
         self.a_bytes = [b"".join(by_symbol.get(c, c.encode()) for c in names.get(i, "")) for i in range(max(names, default=0) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := BYTE.fullmatch(p)) else p.replace(SPACE, " ").encode() for p in pieces]
+        self.lengths = tuple(np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         # A piece with a space mark behind something else could go across a cut.
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-
-    def parts(self, text: str, size: int) -> list[str]:
-        """``text`` cut at spaces; every part is to be encoded with a space before it."""
-        out, start = [], 0
-        while self.cuts and len(text) - start > size and (found := CUT.search(text, start + size)):
-            out.append(text[start : found.start()])
-            start = found.end()
-        return [*out, text[start:]]
-
-    def encode(self, text: str | None, size: int) -> tuple[list[int], list[int]]:
-        """Ids of A and of B; none if either's bytes are not those of space and text."""
-        if not text:
-            return [], []
-        parts = self.parts(text, size)
-        a = [i for p in parts for i in self.a.encode(" " + p, add_special_tokens=False).ids]
-        b = [i for p in parts for i in self.b.encode(p)]
-        raw = b" " + text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+        self.chunks = Rows(self._encode, remembered, columns=2)
+
+    def _encode(self, chunks: list[str]) -> list[list[list[int]]]:
+        simple = [PLAIN.fullmatch(c) is not None for c in chunks]
+        plain, other = iter(self.a.words([c for c, s in zip(chunks, simple, strict=True) if s])), iter(self.a.each([c for c, s in zip(chunks, simple, strict=True) if not s]))
+        a = [next(plain if s else other) for s in simple]
+        b = self.b.encode(chunks, num_threads=1)
+        raw = [b" " + c.encode() for c in chunks]
+        for ids, token, length in ((a, self.a_bytes, self.lengths[0]), (b, self.b_bytes, self.lengths[1])):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            ends = np.append(0, length[flat].cumsum())[np.cumsum([len(i) for i in ids])]
+            # Joined at once: equal bytes and equal ends mean that every chunk is equal.
+            if not (ends == np.cumsum([len(r) for r in raw])).all() or b"".join(map(token.__getitem__, flat.tolist())) != b"".join(raw):
+                for k, r in enumerate(raw):
+                    if b"".join(map(token.__getitem__, ids[k])) != r:
+                        # No ids: the texts that have it get none.
+                        a[k], b[k] = [], []
+        return [a, b]
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B for each text; none if either's bytes are not those of space and text."""
+        cut = [(CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
+        chunks = self.chunks
+        chunks.learn(set().union(*cut))
+        out = []
+        for own in cut:
+            places = np.fromiter(map(chunks.place.__getitem__, own), np.int64, len(own))
+            if not chunks.lengths(places).all():
+                places = places[:0]
+            out.append((chunks.of(places), chunks.of(places, 1)))
+        return out
 
 
 _ENCODERS: dict[tuple[str, str], Encoders] = {}
@@ -108,7 +123,7 @@ _ENCODERS: dict[tuple[str, str], Encoders] = {}
 def encoders(a_path: str, b_path: str) -> Encoders:
     """The tokenizers of this worker, loaded once."""
     if (a_path, b_path) not in _ENCODERS:
-        _ENCODERS[a_path, b_path] = Encoders(a_path, b_path)
+        _ENCODERS[a_path, b_path] = Encoders(a_path, b_path, REMEMBERED)
     return _ENCODERS[a_path, b_path]
 
 
@@ -141,15 +156,16 @@ def pieces_of(a_ends: np.ndarray, b_ends: np.ndarray, size: int) -> list[tuple[i
     return [(i[k], i[k + 1], j[k], j[k + 1]) for k in range(len(i) - 1) if i[k] < i[k + 1] or j[k] < j[k + 1]]
 
 
-def overlaps(a_ends: np.ndarray, b_ends: np.ndarray, own_a: int, own_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links of a piece: places of the A and of the B tokens, and the ends that both sides have. The first
-    ``own_a`` and ``own_b`` ends are the piece's, a further one is the token open at its end."""
+def overlaps(a_ends: np.ndarray, b_ends: np.ndarray, own_a: int, own_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Links of a piece: places of the A and of the B tokens, the byte where each ends, and the ends that both
+    sides have. The first ``own_a`` and ``own_b`` ends are the piece's, a further one is the token open at
+    its end."""
     ends = np.concatenate([a_ends[:own_a], b_ends[:own_b]])
     ends.sort(kind="stable")
     if len(ends):
         ends = ends[np.append(ends[1:] != ends[:-1], True)]
     a, b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-    return a, b, ends[(a_ends[a] == ends) & (b_ends[b] == ends)]
+    return a, b, ends, ends[(a_ends[a] == ends) & (b_ends[b] == ends)]
 
 
 class GroupText:
@@ -171,14 +187,18 @@ class GroupText:
 
     def text(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> str:
         """Whole groups, a semicolon behind each."""
+        return "".join(self.words(a, b, group_a, group_b))
+
+    def words(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> list[str]:
+        """The ids of whole groups in order, each with the mark behind it."""
         if not len(a):
-            return ""
+            return []
         key = np.concatenate([group_a * 2, group_b * 2 + 1])
         order = np.argsort(key, kind="stable")
         key = key[order]
         last = np.append(key[1:] != key[:-1], True)
         code = np.concatenate([a, b])[order] + self.ids * np.where(last, 1 + (key & 1), 0)
-        return "".join(self.names[code].tolist())
+        return self.names[code].tolist()
 
 
 def group_text(a: Sequence[int], b: Sequence[int]) -> str:
@@ -218,7 +238,16 @@ PIECE = T.StructType(
         T.StructField("_b", T.ArrayType(T.IntegerType())),
     ]
 )
-ARROW_PIECE = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+ARROW_PIECE = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+
+
+def _by_size(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``CHARS`` bytes of text."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // CHARS)) + 1
+    for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+        if first < end:
+            yield batch.slice(first, end - first)
 
 
 def cut_pieces(docs: DataFrame, a_path: str, b_path: str, text: str, keep: Sequence[str], spec: Alignment) -> DataFrame:
@@ -229,21 +258,23 @@ def cut_pieces(docs: DataFrame, a_path: str, b_path: str, text: str, keep: Seque
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = encoders(a_path, b_path)
-        a_length, b_length = (np.array([len(x) for x in t], np.int64) for t in (both.a_bytes, both.b_bytes))
         for whole in batches:
-            for at in range(0, len(whole), 2_000):
-                batch = whole.slice(at, 2_000)
-                rows, origin = [], []
-                texts = zip(batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1).to_pylist(), strict=True)
-                for k, (t, row) in enumerate(texts):
-                    a, b = (np.array(x, np.int32) for x in both.encode(t, spec.part))
-                    a_ends, b_ends = a_length[a].cumsum(), b_length[b].cumsum()
-                    cut = pieces_of(a_ends, b_ends, spec.piece)
+            for batch in _by_size(whole, len(keep)):
+                rows, tokens, origin = [], ([], []), []
+                ids = both.encode(batch.column(len(keep)).to_pylist())
+                for k, (row, (a, b)) in enumerate(zip(batch.column(len(keep) + 1).to_pylist(), ids, strict=True)):
+                    cut, ends = [(0, len(a), 0, len(b))], None
+                    if len(a) + len(b) > spec.piece:
+                        ends = [n[i].cumsum() for n, i in zip(both.lengths, (a, b), strict=True)]
+                        cut = pieces_of(*ends, spec.piece)
                     for p, (i, i_end, j, j_end) in enumerate(cut):
-                        bases = (int(a_ends[i - 1]) if i else 0, int(b_ends[j - 1]) if j else 0)
-                        rows.append((row, p, len(cut), *bases, i_end - i, j_end - j, a[i : i_end + 1], b[j : j_end + 1]))
+                        bases = (int(ends[0][i - 1]) if i else 0, int(ends[1][j - 1]) if j else 0)
+                        rows.append((row, p, len(cut), *bases, i_end - i, j_end - j))
+                        tokens[0].append(a[i : i_end + 1])
+                        tokens[1].append(b[j : j_end + 1])
                         origin.append(k)
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), ARROW_PIECE, strict=True)]
+                columns += [pa.ListArray.from_arrays(np.append(0, np.cumsum([len(x) for x in t])).astype(np.int32), np.concatenate(t)) for t in tokens]
                 own = batch.take(pa.array(origin, pa.int64())).columns[: len(keep)]
                 yield pa.RecordBatch.from_arrays([*own, *columns], schema.fieldNames())
 
@@ -255,35 +286,64 @@ def dealt(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pieces.where("_pieces = 1"), pieces.where("_pieces > 1").repartition("_row", "_piece")
 
 
-def _merged(batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple]:
-    """(place in the batch, own_a, own_b, a, b, a_ends, b_ends, A and B places of links, common ends) of
-    every piece."""
-    at = {n: i for i, n in enumerate(batch.schema.names)}
-    numbers = [batch.column(at[n]).to_pylist() for n in ("_a_base", "_b_base", "_own_a", "_own_b")]
+@dataclass
+class Merged:
+    """A run of pieces merged at once: whole texts one behind the other, or a piece of a long text."""
+
+    first: int
+    end: int
+    a: np.ndarray
+    b: np.ndarray
+    a_ends: np.ndarray
+    b_ends: np.ndarray
+    own_a: np.ndarray
+    own_b: np.ndarray
+    links: tuple[np.ndarray, np.ndarray]
+    link_ends: np.ndarray
+    common: np.ndarray
+
+    def keys(self) -> np.ndarray:
+        return (self.a[self.links[0]].astype(np.int64) << 32) | self.b[self.links[1]]
+
+
+def _merged(batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray], size: int) -> Iterator[Merged]:
+    """The pieces of a batch, in runs. Whole texts are merged together until they make a piece's work: both
+    sides have the same bytes, so their ends can go on counting from text to text."""
+    numbers = {n: batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("_pieces", "_a_base", "_b_base", "_own_a", "_own_b")}
     flat, offsets = [], []
     for n in ("_a", "_b"):
-        column = batch.column(at[n])
+        column = batch.column(batch.schema.get_field_index(n))
         offsets.append(np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))))
         flat.append(column.flatten().to_numpy(zero_copy_only=False))
-    for k, (a_base, b_base, own_a, own_b) in enumerate(zip(*numbers, strict=True)):
-        a, b = (f[o[k] : o[k + 1]] for f, o in zip(flat, offsets, strict=True))
-        a_ends, b_ends = lengths[0][a].cumsum() + a_base, lengths[1][b].cumsum() + b_base
-        yield k, own_a, own_b, a, b, a_ends, b_ends, *overlaps(a_ends, b_ends, own_a, own_b)
+    run = np.cumsum(numbers["_own_a"] + numbers["_own_b"]) // size
+    alone = numbers["_pieces"] > 1
+    cuts = np.flatnonzero((np.diff(run) > 0) | alone[1:] | alone[:-1]) + 1
+    for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+        if first == end:
+            continue
+        a, b = (f[o[first] : o[end]] for f, o in zip(flat, offsets, strict=True))
+        own = [numbers[n][first:end] for n in ("_own_a", "_own_b")]
+        a_ends, b_ends = lengths[0][a].cumsum() + numbers["_a_base"][first], lengths[1][b].cumsum() + numbers["_b_base"][first]
+        i, j, ends, common = overlaps(a_ends, b_ends, int(own[0].sum()), int(own[1].sum()))
+        yield Merged(first, end, a, b, a_ends, b_ends, *own, (i, j), ends, common)
 
 
 def _lengths(a_path: str, b_path: str) -> tuple[np.ndarray, np.ndarray]:
-    both = encoders(a_path, b_path)
-    return np.array([len(x) for x in both.a_bytes], np.int64), np.array([len(x) for x in both.b_bytes], np.int64)
+    return encoders(a_path, b_path).lengths
 
 
-def _keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """An id pair as one number."""
-    return (a.astype(np.int64) << 32) | b
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each is there; sorts ``keys``."""
+    keys.sort()
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    every, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return every, np.bincount(at, np.concatenate(counts), len(every)).astype(np.int64)
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
 def pair_counts(pieces: DataFrame, a_path: str, b_path: str, spec: Alignment = DEFAULT) -> DataFrame:
@@ -291,50 +351,32 @@ def pair_counts(pieces: DataFrame, a_path: str, b_path: str, spec: Alignment = D
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = _lengths(a_path, b_path)
-        keys, counts, held, waiting, n = [], [], np.zeros(0, np.int64), [], 0
+        none = np.zeros(0, np.int64)
+        held, waiting, n = (none, none), [], 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(counts[0])], ["pair", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in held], ["pair", "n"])
+
+        def taken() -> tuple[np.ndarray, np.ndarray]:
+            new = _counted(np.concatenate([none, *waiting]))
+            return _summed(*(np.concatenate(both) for both in zip(held, new, strict=True)))
 
         for batch in batches:
-            for _, _, _, a, b, _, _, i, j, _ in _merged(batch, lengths):
-                waiting.append(_keys(a[i], b[j]))
-                n += len(i)
+            for m in _merged(batch, lengths, spec.piece):
+                waiting.append(m.keys())
+                n += len(waiting[-1])
                 if n > 2_000_000:
-                    held, waiting, n = np.concatenate(waiting), [], 0
-                    keys, counts = ([x] for x in _summed([*keys, held], [*counts, np.ones(len(held), np.int64)]))
-                    if len(keys[0]) > spec.summed_pairs:
+                    held, waiting, n = taken(), [], 0
+                    if len(held[0]) > spec.summed_pairs:
                         yield out()
-                        keys, counts = [], []
-        held = np.concatenate([np.zeros(0, np.int64), *waiting])
-        keys, counts = ([x] for x in _summed([*keys, held], [*counts, np.ones(len(held), np.int64)]))
+                        held = (none, none)
+        held = taken()
         yield out()
 
-    columns = pieces.select("_a_base", "_b_base", "_own_a", "_own_b", "_a", "_b")
+    columns = pieces.select("_pieces", "_a_base", "_b_base", "_own_a", "_own_b", "_a", "_b")
     return columns.mapInArrow(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def _looked_up(pieces: DataFrame, known, a_path: str, b_path: str) -> DataFrame:
-    """Links whose pair is not in memory: ``_row``, ``pair`` and how often."""
-
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths, (frequent, _, _) = _lengths(a_path, b_path), known.value
-        for batch in batches:
-            rows = batch.column(0).to_pylist()
-            out: list[list[np.ndarray]] = [[], [], []]
-            for k, _, _, a, b, _, _, i, j, _ in _merged(batch, lengths):
-                keys = _keys(a[i], b[j])
-                keys, n = np.unique(keys[~_found(keys, frequent)[1]], return_counts=True)
-                if len(keys):
-                    for column, values in zip(out, (np.full(len(keys), rows[k]), keys, n), strict=True):
-                        column.append(values)
-            columns = [pa.array(np.concatenate([np.zeros(0, np.int64), *c]), pa.int64()) for c in out]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "pair", "times"])
-
-    columns = pieces.select("_row", "_a_base", "_b_base", "_own_a", "_own_b", "_a", "_b")
-    return columns.mapInArrow(missing, "_row long, pair long, times long")
-
-
 def _found(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of each key in the sorted ones, whether it is there)."""
     if not len(sorted_keys):
@@ -344,20 +386,23 @@ def _found(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 PART = "_closed boolean, _head_a array<int>, _head_b array<int>, _body string, _tail_a array<int>, _tail_b array<int>"
+RARE = "_rare array<bigint>, _times array<bigint>"
 
 
 def _stitched(parts: DataFrame, names: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """One row for each text of several pieces: measures summed, groups joined. A text's pieces follow
     each other after a sort; only the groups of one text are held, as its text was."""
     fields = {f.name: f for f in parts.schema.fields}
-    schema = T.StructType([fields[n] for n in (*names, "_row", *measures, "groups")])
-    columns = ["_row", *measures, "_closed", "_head_a", "_head_b", "_body", "_tail_a", "_tail_b"]
+    schema = T.StructType([fields[n] for n in (*names, "_row", *measures, "_rare", "_times", "groups")])
+    columns = ["_row", *measures, "_rare", "_times", "_closed", "_head_a", "_head_b", "_body", "_tail_a", "_tail_b"]
+    end = 1 + len(measures)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, kept, sums, stitch = None, None, [], Stitcher()
+        row, kept, sums, rare, stitch = None, None, [], ([], []), Stitcher()
 
         def out() -> pa.RecordBatch:
-            values = [*kept.columns, pa.array([row]), *(pa.array([s], pa.int64()) for s in sums), pa.array([stitch.text()])]
+            values = [*kept.columns, pa.array([row]), *(pa.array([s], pa.int64()) for s in sums)]
+            values += [*(pa.array([r], pa.list_(pa.int64())) for r in rare), pa.array([stitch.text()])]
             return pa.RecordBatch.from_arrays(values, schema.names)
 
         for batch in batches:
@@ -365,9 +410,12 @@ def _stitched(parts: DataFrame, names: Sequence[str], measures: Sequence[str]) -
                 if values[0] != row:
                     if row is not None:
                         yield out()
-                    row, kept, sums, stitch = values[0], batch.slice(k, 1).select(list(names)), [0] * len(measures), Stitcher()
-                sums = [s + v for s, v in zip(sums, values[1 : 1 + len(measures)], strict=True)]
-                stitch.add(*values[1 + len(measures) :])
+                    row, kept, sums = values[0], batch.slice(k, 1).select(list(names)), [0] * len(measures)
+                    rare, stitch = ([], []), Stitcher()
+                sums = [s + v for s, v in zip(sums, values[1:end], strict=True)]
+                rare[0].extend(values[end])
+                rare[1].extend(values[end + 1])
+                stitch.add(*values[end + 2 :])
         if row is not None:
             yield out()
 
@@ -406,53 +454,75 @@ def align(
     table = [frequent[c].to_numpy() for c in ("pair", "n", "is_best")]
     order = np.argsort(table[0])
     known = spark.sparkContext.broadcast(tuple(t[order] for t in table))
-    # Pairs that are not frequent: a shuffle join with all of their counts.
-    rare = (
-        _looked_up(pieces, known, a_path, b_path)
-        .join(judged.where(F.col("n") < least), "pair")
-        .groupBy("_row")
-        .agg(F.sum(F.when(F.col("is_best"), F.col("times")).otherwise(0)).alias("_rare_best"), F.sum(F.col("times") * F.col("n")).alias("_rare_sum"))
-    )
-    measures = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    kept = [pieces.schema[n] for n in names]
+    measures = list(MEASURES[:-1])
     schema = T.StructType(
-        [*kept, *PIECE.fields[:3], *(T.StructField(m, T.LongType()) for m in measures), *T._parse_datatype_string(PART).fields, T.StructField("groups", T.StringType())]
-    )
+        [
+            *(pieces.schema[n] for n in names), *PIECE.fields[:3], *(T.StructField(m, T.LongType()) for m in measures),
+            *T._parse_datatype_string(f"{PART}, {RARE}").fields, T.StructField("groups", T.StringType()),
+        ]
+    )
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, (pair, count, is_best) = _lengths(a_path, b_path), known.value
         writer = GroupText(max(map(len, lengths)))
-        for whole in batches:
-            for start in range(0, len(whole), 1_000):
-                batch = whole.slice(start, 1_000)
-                several = [p > 1 for p in batch.column(batch.schema.get_field_index("_pieces")).to_pylist()]
-                out = []
-                for k, own_a, own_b, a, b, a_ends, b_ends, i, j, common in _merged(batch, lengths):
-                    at, there = _found(_keys(a[i], b[j]), pair)
-                    at = at[there]
-                    numbers = [own_a, own_b, len(common), len(i), int(is_best[at].sum()), int(count[at].sum())]
-                    part = writer.pieces(a[:own_a], b[:own_b], a_ends[:own_a], b_ends[:own_b], common)
-                    if several[k]:
-                        out.append((*numbers, len(common) > 0, *part, None))
-                    else:
-                        stitch = Stitcher()
-                        stitch.add(len(common) > 0, *part)
-                        out.append((*numbers, None, None, None, None, None, None, stitch.text()))
-                kinds = [*[pa.int64()] * 6, pa.bool_(), *[pa.list_(pa.int32())] * 2, pa.string(), *[pa.list_(pa.int32())] * 2, pa.string()]
-                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names) + 3], *columns], schema.fieldNames())
-
-    flat = [*names, "_row", *measures, groups(F.col("groups")).alias("groups")]
-    return (
+        ids, numbers = pa.list_(pa.int32()), pa.list_(pa.int64())
+        kinds = [*[pa.int64()] * 6, pa.bool_(), ids, ids, pa.string(), ids, ids, numbers, numbers, pa.string()]
+        for batch in batches:
+            several = batch.column(batch.schema.get_field_index("_pieces")).to_numpy() > 1
+            for m in _merged(batch, lengths, spec.piece):
+                n = m.end - m.first
+                # Where each text ends, in bytes: its last end is one of both sides.
+                last = m.a_ends[np.cumsum(m.own_a)[m.own_a > 0] - 1] if n > 1 else m.link_ends[-1:]
+                filled = np.flatnonzero(m.own_a) if n > 1 else np.zeros(min(1, len(last)), np.int64)
+                text_of = lambda ends: filled[np.searchsorted(last, ends)]  # noqa: B023, E731
+                keys, link_text = m.keys(), text_of(m.link_ends)
+                at, there = _found(keys, pair)
+                sums = [
+                    m.own_a, m.own_b, np.bincount(text_of(m.common), minlength=n), np.bincount(link_text, minlength=n),
+                    *(np.bincount(link_text[there], v[at[there]], n).astype(np.int64) for v in (is_best, count)),
+                ]
+                if several[m.first]:
+                    parts = [(len(m.common) > 0, *writer.pieces(m.a[: m.own_a[0]], m.b[: m.own_b[0]], m.a_ends[: m.own_a[0]], m.b_ends[: m.own_b[0]], m.common))]
+                    texts = [None]
+                else:
+                    parts = [(None,) * 6] * n
+                    written = writer.words(m.a, m.b, np.searchsorted(m.common, m.a_ends), np.searchsorted(m.common, m.b_ends))
+                    ends = np.cumsum(m.own_a + m.own_b).tolist()
+                    texts = ["".join(written[s:e])[:-1] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+                # Pairs that are not in memory: for each text, which and how often.
+                rare, rare_text = keys[~there], link_text[~there]
+                order = np.lexsort((rare, rare_text))
+                rare, rare_text = rare[order], rare_text[order]
+                first = np.flatnonzero(np.append(True, (rare[1:] != rare[:-1]) | (rare_text[1:] != rare_text[:-1]))) if len(rare) else np.zeros(0, np.int64)
+                offsets = np.append(0, np.cumsum(np.bincount(rare_text[first], minlength=n))).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int64())) for v in (rare[first], np.diff(np.append(first, len(rare))))]
+                columns = [pa.array(c, t) for c, t in zip([*sums, *zip(*parts, strict=True)], kinds, strict=False)]
+                own = batch.slice(m.first, n).columns[: len(names) + 3]
+                yield pa.RecordBatch.from_arrays([*own, *columns, *lists, pa.array(texts, pa.string())], schema.fieldNames())
+
+    written = groups(F.col("groups")).alias("groups")
+    of_text = [*names, "_row", *measures]
+    long_texts = several.mapInArrow(aligned, schema)
+    rare = [F.col("_rare"), F.col("_times")]
+    found = stored(
         whole.mapInArrow(aligned, schema)
-        .select(flat)
-        .unionByName(_stitched(several.mapInArrow(aligned, schema), names, measures).select(flat))
-        .join(rare, "_row", "left")
-        .select(
-            *[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)],
-            "n_a", "n_b", "n_groups", "n_links",
-            (F.col("n_best") + F.coalesce("_rare_best", F.lit(0))).alias("n_best"),
-            (F.col("count_sum") + F.coalesce("_rare_sum", F.lit(0))).alias("count_sum"),
-            "groups",
-        )
+        .select(*of_text, *rare, written)
+        .unionByName(_stitched(long_texts, names, measures).select(*of_text, *rare, written)),
+        "aligned",
+    )
+    # Pairs that are not frequent: a shuffle join with all of their counts.
+    zipped = F.explode(F.arrays_zip("_rare", "_times")).alias("r")
+    looked_up = (
+        found.select("_row", zipped)
+        .select("_row", F.col("r._rare").alias("pair"), F.col("r._times").alias("times"))
+        .join(judged.where(F.col("n") < least), "pair")
+        .groupBy("_row")
+        .agg(F.sum(F.when(F.col("is_best"), F.col("times")).otherwise(0)).alias("_more_best"), F.sum(F.col("times") * F.col("n")).alias("_more_sum"))
+    )
+    return found.join(looked_up, "_row", "left").select(
+        *[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)],
+        "n_a", "n_b", "n_groups", "n_links",
+        (F.col("n_best") + F.coalesce("_more_best", F.lit(0))).alias("n_best"),
+        (F.col("count_sum") + F.coalesce("_more_sum", F.lit(0))).alias("count_sum"),
+        "groups",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallysheet.llm import hostrules, mixing, urlrules
+from tallysheet.llm import hardnegatives, hostrules, mixing, urlrules
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -164,5 +164,35 @@ FROM split p LEFT JOIN best b USING (page)
 """
 
 
+def hard_negatives(spec: hardnegatives.Mining = hardnegatives.DEFAULT) -> str:
+    low, high = spec.window
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor({spec.scale} * x::DOUBLE) FOR x IN embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.n AS a, a.vec_id AS anchor_id, r.n, r.vec_id, a.label = r.label AS same, list_inner_product(a.x, r.x)::BIGINT AS score
+  FROM v a JOIN v r ON a.n <> r.n WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, n) <= {spec.positives}
+), found AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.n ORDER BY s.score DESC, s.vec_id NULLS LAST, s.n)::INT AS rank
+  FROM positives p JOIN scored s ON p.a = s.a AND NOT s.same
+  WHERE {low} * p.score <= 100 * s.score AND 100 * s.score <= {high} * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= {spec.negatives}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": mix_sources(), "op6_host_rules": host_rules(), "op7_url_rules": url_rules()}
+    return {
+        "op2_mix_sources": mix_sources(),
+        "op6_host_rules": host_rules(),
+        "op7_url_rules": url_rules(),
+        "op12_hard_negatives": hard_negatives(),
+    }

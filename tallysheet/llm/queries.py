@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tallysheet.llm import (
     alignment,
+    attentionlm,
+    hardnegatives,
     hostrules,
     langid,
     lshforest,
@@ -111,6 +113,19 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.select("doc_id", *alignment.MEASURES[:-1], F.col("groups").alias("groups_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hardnegatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", _held_out(7, 2).alias("held_out"))
+    is_training = F.col("doc_id").isNotNull() & ~F.col("held_out")
+    return attentionlm.score(docs, BYTE_BPE, is_training, keep=("doc_id", "held_out"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
@@ -123,6 +138,8 @@ _QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_personal_data": op10_personal_data,
     "op11_token_alignment": op11_token_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 

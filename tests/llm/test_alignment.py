@@ -51,7 +51,7 @@ def test_pieces_give_the_links_and_groups_of_the_whole(cuts_a, cuts_b, size):
     for i, i_end, j, j_end in pieces:
         assert i_end - i + j_end - j <= size + 1
         ea, eb = a_ends[i : i_end + 1], b_ends[j : j_end + 1]
-        a, b, common = alignment.overlaps(ea, eb, i_end - i, j_end - j)
+        a, b, _, common = alignment.overlaps(ea, eb, i_end - i, j_end - j)
         found += zip((a + i).tolist(), (b + j).tolist(), strict=True)
         part = writer.pieces(np.arange(i, i_end), np.arange(j, j_end), a_ends[i:i_end], b_ends[j:j_end], common)
         stitch.add(len(common) > 0, *part)
@@ -115,7 +115,7 @@ CASES = {
 
 @pytest.mark.parametrize(
     "spec",
-    [Alignment(), Alignment(piece=50, part=64, frequent_pairs=20, summed_pairs=5), Alignment(piece=7, part=1, frequent_pairs=0)],
+    [Alignment(), Alignment(piece=50, frequent_pairs=20, summed_pairs=5), Alignment(piece=7, frequent_pairs=0)],
 )
 def test_equals_brute_force(spark, make_docs, spec):
     docs = make_docs(list(CASES.items())).repartition(3)

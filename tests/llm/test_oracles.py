@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_query_against_sql(spark, name):
     found = entry.queries()[name](spark, SF)
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     expected = con.sql(entry.oracle_sql()[name])
     columns = sorted(found.columns)
