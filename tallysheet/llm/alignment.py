@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallysheet.llm.counts import frequent_from
-from tallysheet.llm.remembered import ByteLevel, Rows
+from tallysheet.llm.remembered import ByteLevel, ByteRanks, Rows
 from tallysheet.llm.tables import stored
 from tallysheet.llm.wordpiece import byte_symbols
 
@@ -46,11 +46,12 @@ SPACE = "▁"
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 # A single space between characters that are surely no white space: no token of either side goes across.
 CUT = re.compile(r"(?<=[!-~¡-ᙿ]) (?=[!-~¡-ᙿ])")
-# A chunk without spaces, cut at both ends.
+# A chunk without spaces, cut at both ends; and one of characters that every Unicode table has alike.
 PLAIN = re.compile(r"[!-~¡-ᙿ](?:[^ ]*[!-~¡-ᙿ])?")
+LATIN = re.compile(r"[!-~¡-ȳ]+")
 # Distinct chunks whose ids a worker remembers, and characters that are encoded between two looks at it.
-REMEMBERED = 500_000
-CHARS = 2_000_000
+REMEMBERED = 300_000
+CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -70,8 +71,9 @@ MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"
 class Encoders:
     """Both tokenizers, the bytes of their tokens, and the ids of chunks of text met so far."""
 
-    def __init__(self, a_path: str, b_path: str, remembered: int):
+    def __init__(self, a_path: str, b_path: str, a_ranks: str | None):
         self.a = ByteLevel(a_path)
+        self.latin = ByteRanks(a_ranks) if a_ranks else self.a
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         with open(a_path, encoding="utf-8") as f:
             read = json.load(f)
@@ -84,12 +86,18 @@ class Encoders:
         self.lengths = tuple(np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         # A piece with a space mark behind something else could go across a cut.
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.chunks = Rows(self._encode, remembered, columns=2)
+        # Ids are stored in as few bytes as they need.
+        self.dtype = np.dtype("<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4")
+        self.chunks = Rows(self._encode, REMEMBERED, columns=2)
 
     def _encode(self, chunks: list[str]) -> list[list[list[int]]]:
-        simple = [PLAIN.fullmatch(c) is not None for c in chunks]
-        plain, other = iter(self.a.words([c for c, s in zip(chunks, simple, strict=True) if s])), iter(self.a.each([c for c, s in zip(chunks, simple, strict=True) if not s]))
-        a = [next(plain if s else other) for s in simple]
+        a: list[list[int]] = [[]] * len(chunks)
+        rest = range(len(chunks))
+        for pattern, encode in ((LATIN, self.latin.words), (PLAIN, self.a.words), (None, self.a.each)):
+            own = [k for k in rest if pattern is None or pattern.fullmatch(chunks[k])]
+            rest = sorted(set(rest).difference(own))
+            for k, ids in zip(own, encode([chunks[k] for k in own]), strict=True):
+                a[k] = ids
         b = self.b.encode(chunks, num_threads=1)
         raw = [b" " + c.encode() for c in chunks]
         for ids, token, length in ((a, self.a_bytes, self.lengths[0]), (b, self.b_bytes, self.lengths[1])):
@@ -117,14 +125,15 @@ class Encoders:
         return out
 
 
-_ENCODERS: dict[tuple[str, str], Encoders] = {}
+Paths = tuple[str, str, str | None]
+_ENCODERS: dict[Paths, Encoders] = {}
 
 
-def encoders(a_path: str, b_path: str) -> Encoders:
+def encoders(paths: Paths) -> Encoders:
     """The tokenizers of this worker, loaded once."""
-    if (a_path, b_path) not in _ENCODERS:
-        _ENCODERS[a_path, b_path] = Encoders(a_path, b_path, REMEMBERED)
-    return _ENCODERS[a_path, b_path]
+    if paths not in _ENCODERS:
+        _ENCODERS[paths] = Encoders(*paths)
+    return _ENCODERS[paths]
 
 
 def path_points(a_ends: np.ndarray, b_ends: np.ndarray, diagonals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +206,7 @@ class GroupText:
         order = np.argsort(key, kind="stable")
         key = key[order]
         last = np.append(key[1:] != key[:-1], True)
-        code = np.concatenate([a, b])[order] + self.ids * np.where(last, 1 + (key & 1), 0)
+        code = np.concatenate([a, b]).astype(np.int64)[order] + self.ids * np.where(last, 1 + (key & 1), 0)
         return self.names[code].tolist()
 
 
@@ -234,8 +243,9 @@ PIECE = T.StructType(
         T.StructField("_b_base", T.LongType()),
         T.StructField("_own_a", T.IntegerType()),
         T.StructField("_own_b", T.IntegerType()),
-        T.StructField("_a", T.ArrayType(T.IntegerType())),
-        T.StructField("_b", T.ArrayType(T.IntegerType())),
+        # Ids, little-endian.
+        T.StructField("_a", T.BinaryType()),
+        T.StructField("_b", T.BinaryType()),
     ]
 )
 ARROW_PIECE = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
@@ -250,14 +260,14 @@ def _by_size(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
             yield batch.slice(first, end - first)
 
 
-def cut_pieces(docs: DataFrame, a_path: str, b_path: str, text: str, keep: Sequence[str], spec: Alignment) -> DataFrame:
+def cut_pieces(docs: DataFrame, paths: Paths, text: str, keep: Sequence[str], spec: Alignment) -> DataFrame:
     """Every text encoded and cut into pieces; the columns ``keep`` are repeated on each."""
     docs = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"), F.monotonically_increasing_id().alias("_row"))
     kept = docs.schema.fields[: len(keep)]
     schema = T.StructType([*kept, *PIECE.fields])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = encoders(a_path, b_path)
+        both = encoders(paths)
         for whole in batches:
             for batch in _by_size(whole, len(keep)):
                 rows, tokens, origin = [], ([], []), []
@@ -270,13 +280,14 @@ def cut_pieces(docs: DataFrame, a_path: str, b_path: str, text: str, keep: Seque
                     for p, (i, i_end, j, j_end) in enumerate(cut):
                         bases = (int(ends[0][i - 1]) if i else 0, int(ends[1][j - 1]) if j else 0)
                         rows.append((row, p, len(cut), *bases, i_end - i, j_end - j))
-                        tokens[0].append(a[i : i_end + 1])
-                        tokens[1].append(b[j : j_end + 1])
+                        tokens[0].append(a[i : i_end + 1].astype(both.dtype).tobytes())
+                        tokens[1].append(b[j : j_end + 1].astype(both.dtype).tobytes())
                         origin.append(k)
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), ARROW_PIECE, strict=True)]
-                columns += [pa.ListArray.from_arrays(np.append(0, np.cumsum([len(x) for x in t])).astype(np.int32), np.concatenate(t)) for t in tokens]
+                columns += [pa.array(t, pa.binary()) for t in tokens]
                 own = batch.take(pa.array(origin, pa.int64())).columns[: len(keep)]
                 yield pa.RecordBatch.from_arrays([*own, *columns], schema.fieldNames())
+        both.chunks.forget()
 
     return docs.mapInArrow(encoded, schema)
 
@@ -306,15 +317,15 @@ class Merged:
         return (self.a[self.links[0]].astype(np.int64) << 32) | self.b[self.links[1]]
 
 
-def _merged(batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray], size: int) -> Iterator[Merged]:
+def _merged(batch: pa.RecordBatch, both: Encoders, size: int) -> Iterator[Merged]:
     """The pieces of a batch, in runs. Whole texts are merged together until they make a piece's work: both
     sides have the same bytes, so their ends can go on counting from text to text."""
     numbers = {n: batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("_pieces", "_a_base", "_b_base", "_own_a", "_own_b")}
     flat, offsets = [], []
     for n in ("_a", "_b"):
         column = batch.column(batch.schema.get_field_index(n))
-        offsets.append(np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))))
-        flat.append(column.flatten().to_numpy(zero_copy_only=False))
+        offsets.append(np.append(0, np.cumsum(pc.binary_length(column).to_numpy())) // both.dtype.itemsize)
+        flat.append(np.frombuffer(b"".join(column.to_pylist()), both.dtype))
     run = np.cumsum(numbers["_own_a"] + numbers["_own_b"]) // size
     alone = numbers["_pieces"] > 1
     cuts = np.flatnonzero((np.diff(run) > 0) | alone[1:] | alone[:-1]) + 1
@@ -323,15 +334,11 @@ def _merged(batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray], size:
             continue
         a, b = (f[o[first] : o[end]] for f, o in zip(flat, offsets, strict=True))
         own = [numbers[n][first:end] for n in ("_own_a", "_own_b")]
-        a_ends, b_ends = lengths[0][a].cumsum() + numbers["_a_base"][first], lengths[1][b].cumsum() + numbers["_b_base"][first]
+        a_ends, b_ends = (n[x].cumsum() + numbers[base][first] for n, x, base in zip(both.lengths, (a, b), ("_a_base", "_b_base"), strict=True))
         i, j, ends, common = overlaps(a_ends, b_ends, int(own[0].sum()), int(own[1].sum()))
         yield Merged(first, end, a, b, a_ends, b_ends, *own, (i, j), ends, common)
 
 
-def _lengths(a_path: str, b_path: str) -> tuple[np.ndarray, np.ndarray]:
-    return encoders(a_path, b_path).lengths
-
-
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and how often each is there; sorts ``keys``."""
     keys.sort()
@@ -346,11 +353,11 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
-def pair_counts(pieces: DataFrame, a_path: str, b_path: str, spec: Alignment = DEFAULT) -> DataFrame:
+def pair_counts(pieces: DataFrame, paths: Paths, spec: Alignment = DEFAULT) -> DataFrame:
     """``pair`` (A's id times 2^32 plus B's) and ``n``, its links in the whole corpus."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = _lengths(a_path, b_path)
+        both = encoders(paths)
         none = np.zeros(0, np.int64)
         held, waiting, n = (none, none), [], 0
 
@@ -359,10 +366,10 @@ def pair_counts(pieces: DataFrame, a_path: str, b_path: str, spec: Alignment = D
 
         def taken() -> tuple[np.ndarray, np.ndarray]:
             new = _counted(np.concatenate([none, *waiting]))
-            return _summed(*(np.concatenate(both) for both in zip(held, new, strict=True)))
+            return _summed(*(np.concatenate(parts) for parts in zip(held, new, strict=True)))
 
         for batch in batches:
-            for m in _merged(batch, lengths, spec.piece):
+            for m in _merged(batch, both, spec.piece):
                 waiting.append(m.keys())
                 n += len(waiting[-1])
                 if n > 2_000_000:
@@ -426,6 +433,7 @@ def align(
     docs: DataFrame,
     a_path: str,
     b_path: str,
+    a_ranks: str | None = None,
     text: str = "text",
     keep: Sequence[str] = ("doc_id",),
     groups: Callable[[Column], Column] = lambda text: text,
@@ -435,16 +443,18 @@ def align(
     (links whose pair is the most frequent of its B id), ``count_sum`` (corpus counts summed over links)
     and ``groups``: an expression of the groups' text, applied before it is shuffled.
 
-    The tokenizer files must be where every executor finds them.
+    A is a byte-level tokenizer file, B a piece model. ``a_ranks`` may name a file of A's vocabulary as ranks, which
+    is faster to encode with. The files must be where every executor finds them.
     """
+    paths = (a_path, b_path, a_ranks)
     if clash := {c.lower() for c in keep} & set(MEASURES):
         raise ValueError(f"columns of the result: {sorted(clash)}")
     spark = docs.sparkSession
     names = [f"_k{i}" for i in range(len(keep))]
     renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("_text"))
-    whole, several = dealt(stored(cut_pieces(renamed, a_path, b_path, "_text", names, spec), "pieces"))
+    whole, several = dealt(stored(cut_pieces(renamed, paths, "_text", names, spec), "pieces", compression="zstd"))
     pieces = whole.unionByName(several)
-    pairs = stored(pair_counts(pieces, a_path, b_path, spec), "pairs")
+    pairs = stored(pair_counts(pieces, paths, spec), "pairs")
     # One row for each B id: no more than B has pieces.
     b_id = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     best = pairs.groupBy(b_id.alias("b")).agg(F.max("n").alias("most"))
@@ -463,13 +473,13 @@ def align(
     )
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths, (pair, count, is_best) = _lengths(a_path, b_path), known.value
-        writer = GroupText(max(map(len, lengths)))
+        both, (pair, count, is_best) = encoders(paths), known.value
+        writer = GroupText(max(map(len, both.lengths)))
         ids, numbers = pa.list_(pa.int32()), pa.list_(pa.int64())
         kinds = [*[pa.int64()] * 6, pa.bool_(), ids, ids, pa.string(), ids, ids, numbers, numbers, pa.string()]
         for batch in batches:
             several = batch.column(batch.schema.get_field_index("_pieces")).to_numpy() > 1
-            for m in _merged(batch, lengths, spec.piece):
+            for m in _merged(batch, both, spec.piece):
                 n = m.end - m.first
                 # Where each text ends, in bytes: its last end is one of both sides.
                 last = m.a_ends[np.cumsum(m.own_a)[m.own_a > 0] - 1] if n > 1 else m.link_ends[-1:]

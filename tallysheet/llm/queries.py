@@ -32,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # A parameter of the queries; on a cluster, the place where every executor has the file.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -109,7 +110,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     digest = lambda g: F.when(g == "", "").otherwise(F.sha2(g, 256))
-    aligned = alignment.align(docs, BYTE_BPE, PIECE_BPE, groups=digest)
+    aligned = alignment.align(docs, BYTE_BPE, PIECE_BPE, BYTE_RANKS, groups=digest)
     return aligned.select("doc_id", *alignment.MEASURES[:-1], F.col("groups").alias("groups_sha256"))
 
 
@@ -123,7 +124,7 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", _held_out(7, 2).alias("held_out"))
     is_training = F.col("doc_id").isNotNull() & ~F.col("held_out")
-    return attentionlm.score(docs, BYTE_BPE, is_training, keep=("doc_id", "held_out"))
+    return attentionlm.score(docs, BYTE_RANKS, is_training, keep=("doc_id", "held_out"))
 
 
 _QUERIES: dict[str, Query] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import os
 from collections.abc import Callable, Iterable
 from itertools import chain
@@ -77,14 +78,42 @@ class ByteLevel:
         return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
     def words(self, words: list[str], at_once: int = 10_000) -> list[list[int]]:
-        """Ids of words that have no space, and no other white space at an end."""
-        out = []
-        for at in range(0, len(words), at_once):
-            part = words[at : at + at_once]
-            ids = self.each([" ".join(part)])[0]
-            first = np.flatnonzero(self.starts[ids]).tolist()
-            if len(first) == len(part) and first[0] == 0:
-                out += [ids[a:b] for a, b in zip(first, [*first[1:], len(ids)], strict=True)]
-            else:
-                out += self.each(part)
-        return out
+        return _joined(self, words, at_once)
+
+
+class ByteRanks:
+    """The same for a vocabulary of byte strings with ranks, in a file of lines with the base64 text of a
+    string and its rank."""
+
+    # Fixed value: how texts are cut before merging; the vocabulary was made with it.
+    CUT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(text): int(rank) for text, rank in map(bytes.split, f)}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=self.CUT, mergeable_ranks=ranks, special_tokens={})
+        self.size = max(ranks.values()) + 1
+        self.starts = np.zeros(self.size, bool)
+        self.starts[[rank for text, rank in ranks.items() if text.startswith(b" ")]] = True
+
+    def each(self, texts: list[str]) -> list[list[int]]:
+        return [self.encoding.encode_ordinary(" " + t) for t in texts]
+
+    def words(self, words: list[str], at_once: int = 10_000) -> list[list[int]]:
+        return _joined(self, words, at_once)
+
+
+def _joined(tokenizer, words: list[str], at_once: int) -> list[list[int]]:
+    """Ids of words that have no space, and no other white space at an end."""
+    out = []
+    for at in range(0, len(words), at_once):
+        part = words[at : at + at_once]
+        ids = tokenizer.each([" ".join(part)])[0]
+        first = np.flatnonzero(tokenizer.starts[ids]).tolist()
+        if len(first) == len(part) and first[0] == 0:
+            out += [ids[a:b] for a, b in zip(first, [*first[1:], len(ids)], strict=True)]
+        else:
+            out += tokenizer.each(part)
+    return out

@@ -23,12 +23,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the folder that all executors share and read it back: what follows
     neither computes it again nor depends on the executors that made it."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,9 +12,10 @@ from hypothesis import strategies as st
 
 from tallysheet.llm import alignment
 from tallysheet.llm.alignment import Alignment, align
-from tallysheet.llm.queries import BYTE_BPE, PIECE_BPE, op11_token_alignment
+from tallysheet.llm.queries import BYTE_BPE, BYTE_RANKS, PIECE_BPE, op11_token_alignment
 from tallysheet.llm.wordpiece import byte_symbols
 
+ENCODERS = alignment.encoders((BYTE_BPE, PIECE_BPE, BYTE_RANKS))
 ENDS = st.lists(st.integers(1, 60), max_size=40)
 
 
@@ -94,6 +95,17 @@ def _reference(docs):
     }
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab'sté9,. \n\t\xa0ȳȴ漢-x"), max_size=30), max_size=4))
+def test_chunks_give_the_ids_of_whole_texts(texts):
+    found = ENCODERS.encode(texts)
+    for text, (a, b) in zip(texts, found, strict=True):
+        whole_a, whole_b = ENCODERS.a.each([text])[0], ENCODERS.b.encode(text)
+        raw = (" " + text).encode()
+        same = b"".join(ENCODERS.a_bytes[i] for i in whole_a) == raw == b"".join(ENCODERS.b_bytes[i] for i in whole_b)
+        assert (a.tolist(), b.tolist()) == ((whole_a, whole_b) if text and same else ([], []))
+
+
 def _rows(df):
     return {r["doc_id"]: tuple(r[m] for m in alignment.MEASURES) for r in df.collect()}
 
@@ -119,7 +131,8 @@ CASES = {
 )
 def test_equals_brute_force(spark, make_docs, spec):
     docs = make_docs(list(CASES.items())).repartition(3)
-    assert _rows(align(docs, BYTE_BPE, PIECE_BPE, spec=spec)) == _reference(CASES)
+    for ranks in (None, BYTE_RANKS):
+        assert _rows(align(docs, BYTE_BPE, PIECE_BPE, ranks, spec=spec)) == _reference(CASES)
 
 
 def test_query_equals_brute_force_on_all_documents(spark, small):
