@@ -305,11 +305,13 @@ def ranked_by_length(pieces: DataFrame, length: str, order: Sequence[str], n: in
     """``pieces`` with ``rank`` from 0 among those of the same length.
 
     No length is gathered: rows are dealt over buckets by hash, numbered within (bucket, length), and
-    moved up by the number of such rows in earlier buckets. Equal rows are interchangeable.
+    moved up by the number of such rows in earlier buckets. The place a row is read from is part of the hash,
+    so that equal rows, however many, are dealt as well; they are interchangeable.
     """
     buckets = max(LEAST_BUCKETS, n // BUCKET_PIECES)
     bucket = free_name(pieces.columns, "bucket")
-    dealt = pieces.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    place = F.monotonically_increasing_id()
+    dealt = pieces.withColumn(bucket, F.pmod(F.xxhash64(*order, place), F.lit(buckets)))
     counts = dealt.groupBy(length, bucket).agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy(length).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     moved = counts.select(length, bucket, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_moved"))

@@ -151,3 +151,17 @@ def test_clashing_columns(spark, column):
     pieces = spark.range(20).selectExpr("id as doc_id", "id % 5 + 1 as length", f"id as {column}")
     rows = packing.pack(pieces, order=["doc_id"], capacity=10).collect()
     assert len(rows) == 20 and all(r["offset"] + r["length"] <= 10 for r in rows)
+
+
+def test_equal_rows_are_dealt_over_buckets(spark):
+    """A row repeated any number of times, as null ids with empty text are."""
+    from tallysheet.llm.tables import stored
+
+    rows = spark.range(0, 60_000, 1, 6).selectExpr("cast(null as long) as doc_id", "0 as piece", "0L as start", "1L as length", "7L as ids_crc32")
+    rows = stored(rows, "pieces")
+    found = packing.ranked_by_length(rows, "length", ("doc_id", "piece", "start", "ids_crc32"), 60_000, "rank")
+    assert found.select("rank").distinct().count() == 60_000 and found.agg({"rank": "max"}).first()[0] == 59_999
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in plan
+    packed = packing.pack(rows).groupBy("sequence_id").agg({"length": "sum", "offset": "max"}).collect()
+    assert len(packed) == -(-60_000 // packing.CAPACITY) and max(r["sum(length)"] for r in packed) == packing.CAPACITY
