@@ -1,17 +1,22 @@
 """Mixing sources to target weights.
 
 Sizes are summed per source, targets follow from weights by water filling, and every document is
-taken floor(rate) times plus one copy whose draw is a Bernoulli trial seeded by a hash of its id.
-
-Cases: null text has size 0. A null source is a source of its own, last in order. A source of size
-0 has target and rate 0. A null id draws as its own id; repeated rows draw alike, each for itself. An empty
-table gives an empty result. Columns that have the name of a column added here are replaced.
+taken floor(rate) times plus one copy whose draw is a Bernoulli trial. The trial is seeded by a hash of the
+id, of the text, and of the turn of the document among those equal in both. So documents without an id, or
+with one id, draw each for itself, and so do copies.
+
+Cases: null text has size 0. Texts of any length are read whole. A null source is a source of its own, last in
+order. A source of size 0 has target and rate 0. Ids may be null or repeated. Repeated rows are told apart by their
+turn, in no stated order. An empty table gives an empty result. Columns that have the name of a column added
+here are replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,10 +103,42 @@ def targets(sized: DataFrame, source: str = "source", size: str = "size", mix: M
     return sources.withColumn("target", F.least(F.col("weight") * F.lit(level), limit).cast("double"))
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) from a hash of the id: 52 bits of an MD5 digest."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+def text_digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def draw(doc_id: Column, digest: Column, turn: Column, seed: str) -> Column:
+    """A number in [0, 1) from a hash: 52 bits of an MD5 digest."""
+    named = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    hashed = F.md5(F.concat_ws(":", F.lit(seed), named, digest, turn.cast("string")))
+    return F.conv(F.substring(hashed, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def with_turns(docs: DataFrame, narrow: DataFrame, keys: Sequence[str], turn: str, mix: Mix = DEFAULT) -> DataFrame:
+    """``docs`` with the turn (from 1) of each row among those equal in ``keys``; ``narrow`` has the same
+    rows in these columns and is cheap to read.
+
+    Only rows that have an equal are shuffled. They are counted for each key and input partition and
+    numbered within, so that no task sees all rows of a key.
+    """
+    repeated = stored(narrow.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]).count().where("count > 1").drop("count"), "repeated")
+    n = repeated.count()
+    if not n:
+        return docs.withColumn(turn, F.lit(1).cast("long"))
+    if n <= mix.broadcast_sources:
+        repeated = F.broadcast(repeated)
+    part = free_name([*docs.columns, turn], "part")
+    placed = docs.withColumn(part, F.spark_partition_id())
+    equal = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+    alone = placed.join(repeated, equal, "left_anti").withColumn(turn, F.lit(1).cast("long")).drop(part)
+    several = placed.join(repeated, equal, "left_semi")
+    counts = several.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], F.col(part).alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*[f"_{i}" for i in range(len(keys))]).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(0)))
+    numbered = several.withColumn(turn, within).join(counts, equal & (F.col(part) == F.col("_part")))
+    moved = (F.col(turn) + F.col("_before")).alias(turn)
+    return alone.unionByName(numbered.select(*[F.col(f"`{c}`") for c in docs.columns], moved))
 
 
 def mix_sources(
@@ -110,25 +147,36 @@ def mix_sources(
     source: str = "source",
     text: str = "text",
     size: str | None = None,
+    digest: str | None = None,
     mix: Mix = DEFAULT,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
+    """``docs`` (from files, as they are read twice) with ``size``, ``source_size``, ``target``, ``copies``
+    and ``taken``.
 
-    ``size`` names a column of ``docs`` that already has the sizes; else words of ``text`` count.
-    A hot source is one row after partial sums; its documents never meet in one task.
+    ``size`` and ``digest`` name columns of ``docs`` that already have the sizes and the ``text_digest``; else
+    those of ``text`` are worked out. A hot source is one row after partial sums; its documents never
+    meet in one task.
     """
     sized = without(docs, [a for a in ADDED if a != size])
     sized = sized.withColumn("size", F.col(size).cast("long") if size else word_count(F.col(text)))
-    by_source = stored(targets(sized, source, "size", mix), "targets").select(
+    own, turn = free_name(sized.columns, "mix_digest"), free_name(sized.columns, "mix_turn")
+    sized = sized.withColumn(own, F.col(digest) if digest else text_digest(F.col(text)))
+    keys = [doc_id, source, own]
+    # The texts are read once for sizes and digests, and once for the result.
+    narrow = sized.select(*dict.fromkeys([*keys, "size"]))
+    if not (size and digest):
+        narrow = stored(narrow, "sizes")
+    by_source = stored(targets(narrow, source, "size", mix), "targets").select(
         F.col(source).alias(key := free_name(sized.columns, "mix_source")), "source_size", "target"
     )
     if by_source.count() <= mix.broadcast_sources:
         by_source = F.broadcast(by_source)
-    mixed = sized.join(by_source, F.col(source).eqNullSafe(F.col(key)), "left").drop(key)
+    mixed = with_turns(sized, narrow, keys, turn, mix).join(by_source, F.col(source).eqNullSafe(F.col(key)), "left").drop(key)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    extra = (draw(F.col(doc_id), mix.seed) < rate - whole).cast("long")
-    return mixed.withColumn("copies", (whole + extra).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
+    extra = (draw(F.col(doc_id), F.col(own), F.col(turn), mix.seed) < rate - whole).cast("long")
+    mixed = mixed.withColumn("copies", (whole + extra).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
+    return mixed.drop(own, turn)
 
 
 def emit(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,9 @@ def mix_sources(mix: mixing.Mix = mixing.DEFAULT) -> str:
     weights = ", ".join(map(str, mix.weights))
     return f"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORDS}))::BIGINT AS size FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORDS}))::BIGINT AS size, md5(coalesce(text, '')) AS digest,
+    row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) AS turn
+  FROM documents
 ), sums AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
 ), weighed AS (
@@ -33,7 +35,8 @@ WITH sized AS (
 ), rates AS (
   SELECT s.doc_id, s.size, t.source_size, t.target, s.source,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-    ('0x' || substr(md5('{mix.seed}:' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS draw
+    ('0x' || substr(md5('{mix.seed}:' || coalesce(s.doc_id::VARCHAR, 'null') || ':' || s.digest || ':' || s.turn), 1, 13))::BIGINT::DOUBLE
+      / 4503599627370496 AS draw
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), copied AS (
   SELECT *, (floor(rate) + (draw < rate - floor(rate))::INT)::BIGINT AS copies FROM rates

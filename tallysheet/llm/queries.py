@@ -43,9 +43,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    # Only the sizes are needed twice, so the texts are read once.
-    sizes = stored(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
-    mixed = mixing.mix_sources(sizes, size="size")
+    # Sizes and digests are needed twice, the texts once.
+    narrow = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"), mixing.text_digest(F.col("text")).alias("digest"))
+    mixed = mixing.mix_sources(stored(narrow, "sizes"), size="size", digest="digest")
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
