@@ -141,13 +141,19 @@ def host_verdicts(measured: DataFrame, host: str = "source", rules: HostRules =
     hosts = measured.groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("host_docs"), F.sum(failed.cast("long")).alias("host_failures")
     )
+    return verdicts(hosts, rules)
+
+
+def verdicts(hosts: DataFrame, rules: HostRules = DEFAULT) -> DataFrame:
+    """``hosts`` (with ``host_docs`` and ``host_failures``) with ``host_rate`` and ``host_verdict``. Squares are
+    of doubles: a host may have any number of documents."""
     n, k = F.col("host_docs"), F.col("host_failures")
     corpus = hosts.agg(
         F.sum(n).alias("docs"),
         F.sum(k).alias("failures"),
         F.count(F.lit(1)).alias("hosts"),
-        F.sum(k * k / n).alias("squares"),
-        F.sum(n * n).cast("double").alias("sizes"),
+        F.sum(k.cast("double") * k / n).alias("squares"),
+        F.sum(n.cast("double") * n).alias("sizes"),
     ).first()
     prior, mean = _beta_prior(corpus)
     rate = (

@@ -83,3 +83,29 @@ def test_cases(spark, make_docs):
     assert all(r["kept"] for r in judged if r["doc_id"] not in (1, 2))
     assert all(r["HOST"] == 5 for r in judged)
     assert hostrules.judge(make_docs([])).collect() == []
+
+
+def test_a_host_of_billions_of_documents(spark):
+    hosts = spark.createDataFrame([("big", 4_000_000_000, 400_000_000), ("bad", 9_000_000_000, 8_100_000_000), ("small", 50, 1)], "host string, host_docs long, host_failures long")
+    found = {r["host"]: (r["host_rate"], r["host_verdict"]) for r in hostrules.verdicts(hosts).collect()}
+    assert abs(found["big"][0] - 0.1) < 1e-6 and abs(found["bad"][0] - 0.9) < 1e-6
+    assert found["bad"][1] == "rejected" and 0 < found["small"][0] < 0.5
+
+
+def test_query_lets_the_verdict_of_a_host_decide(spark, make_docs, tmp_path):
+    """The same text is kept or not, by what else its host has."""
+    good = " ".join(f"word{i} and other" for i in range(30))
+    bad = "# # | | " * 40
+    # A symbol for each six words: trusted hosts may have it, suspect ones not.
+    some = " ".join(f"plain{i} thing and more{i} of it #" for i in range(12))
+    rows = [(i, good, "en", "fine") for i in range(300)]
+    rows += [(1000 + i, bad if i % 5 else good, "en", "doubtful") for i in range(300)]
+    rows += [(3000 + i, bad if i % 50 else good, "en", "spoilt") for i in range(300)]
+    rows += [(2000, some, "en", "fine"), (2001, some, "en", "doubtful"), (2002, good * 20_000, "en", "fine"), (2003, None, "en", None)]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in op6_host_rules(spark, str(tmp_path)).collect()}
+    assert [found[i]["host_verdict"] for i in (0, 1000, 3000)] == ["trusted", "suspect", "rejected"]
+    assert found[0]["kept"] and found[1000]["kept"] and found[2000]["kept"] and found[2002]["kept"]
+    assert not found[2001]["kept"] and not found[2001]["base_failed"]
+    assert not found[3000]["kept"] and not found[3000]["base_failed"]
+    assert found[2002]["n_words"] > 1_000_000 and not found[2003]["kept"]
