@@ -1,14 +1,17 @@
 """Personal data: pattern matches, and further spans by a semi-Markov conditional random field.
 
 The base spans are pattern matches for each kind. A semi-Markov CRF then reads the runs of tokens
-that could hold such data (tokens with a digit or an at sign), scores whole candidate segments by
-features of the segment (its length, digits, separators, shape and the word in front) and chooses
+that could hold such data (tokens with a digit, an at sign or a written one), scores whole candidate segments
+by features of the segment (its length, digits, separators, shape and the word in front) and chooses
 boundaries and kinds jointly by dynamic programming over segments of bounded length. It is trained on
-a bounded sample of documents with the base spans as labels. Segments that overlap no base span are
-added; base spans stay.
-
-Cases: null text is empty. Whole texts are read. Repeated rows give repeated results; an empty
-table gives an empty result, by a model without weights, which adds nothing. Columns that have the
+a bounded sample of documents, with the base spans as labels. From these it would learn the patterns only,
+so it also sees them written in ways that the patterns miss: separators in brackets, numbers without their
+plus sign, other separators. Segments that overlap no base span are added; base spans stay.
+
+Cases: null text is empty. Whole texts and segments of any length are read, in time linear in the text. Repeated
+rows give repeated results; ids are not looked at. Base spans may overlap each other; added ones overlap
+none, and of equally good segmentations the one with the later, shorter and first-listed kind is taken. An
+empty table gives an empty result, by a model without weights, which adds nothing. Columns that have the
 name of a column added here are replaced.
 """
 
@@ -16,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -93,7 +98,11 @@ class Training:
 
     docs: int = 20_000
     runs: int = 4_000
+    # Longer runs are not in the sample.
     run_tokens: int = 40
+    run_chars: int = 1_600
+    # How often a run with base spans is seen with spans that the patterns miss.
+    variants: int = 3
     epochs: int = 4
     rate: float = 0.3
     decay: float = 1e-4
@@ -103,15 +112,16 @@ class Training:
 
 
 DEFAULT = Training()
-_MARKED = re.compile(r"[0-9@]\S*")
+_MARKED = re.compile(r"(?:[0-9@]|[(\[{](?i:at)[)\]}])\S*")
 _EDGE = "\"'“”‘’,;:!?<>[]{}|*#&$%="
+_AT = re.compile(r"@|[(\[{](?i:at)[)\]}]")
 _RUNS = re.compile(r"[0-9]+|[^\W\d_]+")
 
 
 @dataclass(frozen=True)
 class Run:
     """Neighbouring tokens with a digit or an at sign: their bounds in the text, without punctuation
-    around them, and the word in front."""
+    around them, and the word in front, on the same line."""
 
     tokens: list[tuple[int, int]]
     before: str
@@ -137,7 +147,7 @@ def candidate_runs(text: str) -> Iterator[Run]:
             yield Run(tokens, before)
             tokens = []
         if not tokens:
-            before = text[max(0, a - 20) : a].rpartition("\n")[2].rstrip().rpartition(" ")[2].lower()
+            before = text[done:a].rpartition("\n")[2].rstrip().rpartition(" ")[2].lower()
         done = m.end()
         tokens.append(_trimmed(text, a, done))
     if tokens:
@@ -147,7 +157,8 @@ def candidate_runs(text: str) -> Iterator[Run]:
 def segment_features(segment: str, before: str, tokens: int) -> list[str] | None:
     """Features of a whole candidate segment; None if it can hold no personal data at all."""
     digits = _NO_DIGITS.sub("", segment)
-    if len(segment) > 120 or ("@" not in segment and len(digits) < 7 and segment.count(".") < 3):
+    at = _AT.search(segment)
+    if not at and len(digits) < 7 and segment.count(".") < 3:
         return None
     shape = _RUNS.sub(lambda m: f"N{len(m[0])}" if m[0].isdigit() else "a", segment)
     coarse = _RUNS.sub(lambda m: "N" if m[0].isdigit() else "a", segment)
@@ -155,16 +166,16 @@ def segment_features(segment: str, before: str, tokens: int) -> list[str] | None
     octets = re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", segment) is not None
     return [
         "bias",
-        f"shape={shape[:40]}",
-        f"coarse={coarse[:40]}",
+        f"shape={shape}",
+        f"coarse={coarse}",
         f"digits={min(len(digits), 20)}",
-        f"marks={marks[:10]}",
+        f"marks={marks}",
         f"first={segment[:1] if not segment[:1].isalnum() else 'x'}",
         f"tokens={tokens}",
-        f"before={before[:12]}",
+        f"before={before}",
         f"luhn={14 <= len(digits) <= 19 and luhn(digits)}",
         f"octets={octets and all(int(p) <= 255 for p in segment.split('.'))}",
-        f"address={'@' in segment and '.' in segment.rpartition('@')[2]}",
+        f"address={at is not None and '.' in segment[at.end() :]}",
     ]
 
 
@@ -261,6 +272,49 @@ def train(examples: Sequence[tuple[str, list[Span]]], training: Training = DEFAU
     return weights
 
 
+def variants(kind: int, value: str) -> list[str]:
+    """Ways to write a base span that the patterns miss."""
+    digits = _NO_DIGITS.sub("", value)
+    fours = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+    local, _, domain = value.rpartition("@")
+    found = (
+        [f"{local}{at}{domain}" for at in ("[@]", "(@)", "(at)", "[at]")] + [value.replace(".", dot) for dot in ("[.]", "(.)")],
+        [value.replace(".", dot) for dot in ("[.]", "(.)", ". ")],
+        [mark.join(fours) for mark in (".", "_", "/")],
+        ["00" + value[1:], value[1:], re.sub(r"[ -]+", "/", value), re.sub(r"[ -]+", "/", value[1:])],
+    )[kind]
+    return [v for v in dict.fromkeys(found) if v != value and not base_spans(v)]
+
+
+def rewritten(text: str, spans: list[Span], rng: np.random.Generator) -> tuple[str, list[Span]] | None:
+    """``text`` with about two of three spans in a form that the patterns miss, and where the spans are
+    then; None if spans overlap or none has such a form."""
+    out, moved, done, changed = "", [], 0, False
+    for a, b, kind in spans:
+        if a < done:
+            return None
+        out += text[done:a]
+        value, forms = text[a:b], variants(kind, text[a:b])
+        if forms and rng.random() < 2 / 3:
+            value, changed = forms[rng.integers(len(forms))], True
+        moved.append((len(out), len(out) + len(value), kind))
+        out, done = out + value, b
+    return (out + text[done:], moved) if changed else None
+
+
+def examples_of(runs: Sequence[str], training: Training = DEFAULT) -> list[tuple[str, list[Span]]]:
+    """Labelled runs: each with its base spans, and again with spans rewritten."""
+    out = []
+    for run in runs:
+        spans = base_spans(run)
+        out.append((run, spans))
+        rng = np.random.default_rng(zlib.crc32(run.encode()))
+        for _ in range(training.variants if spans else 0):
+            if found := rewritten(run, spans, rng):
+                out.append(found)
+    return out
+
+
 def learn(docs: DataFrame, text: str = "text", training: Training = DEFAULT) -> list[dict[str, float]]:
     """Train on the runs of a bounded sample: documents by hash of their text, about ``training.docs``
     of them, and of their runs the ``training.runs`` with the least hash."""
@@ -276,12 +330,12 @@ def learn(docs: DataFrame, text: str = "text", training: Training = DEFAULT) ->
             for t in batch.column(0).to_pylist():
                 for run in candidate_runs(t or ""):
                     a, b = run.tokens[0][0], run.tokens[-1][1]
-                    if len(run.tokens) <= training.run_tokens and b - a <= 40 * training.run_tokens:
-                        out.append(f"{run.before} {t[a:b]}"[:2000])
+                    if len(run.tokens) <= training.run_tokens and len(run.before) + b - a <= training.run_chars:
+                        out.append(f"{run.before} {t[a:b]}")
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["run"])
 
     found = sample.mapInArrow(runs, "run string").distinct().orderBy(F.xxhash64("run"), "run").limit(training.runs)
-    return train([(r["run"], base_spans(r["run"])) for r in found.collect()], training)
+    return train(examples_of([r["run"] for r in found.collect()], training), training)
 
 
 def find_spans(text: str, weights: Sequence[dict[str, float]], training: Training = DEFAULT) -> tuple[list[Span], list[Span]]:
@@ -289,9 +343,19 @@ def find_spans(text: str, weights: Sequence[dict[str, float]], training: Trainin
     base = base_spans(text)
     spans = list(base)
     if any(weights):
+        # Base spans joined where they overlap, so that one look finds the only one that a span could meet.
+        starts: list[int] = []
+        ends: list[int] = []
+        for a, b, _ in base:
+            if ends and a < ends[-1]:
+                ends[-1] = max(ends[-1], b)
+            else:
+                starts.append(a)
+                ends.append(b)
         for run in candidate_runs(text):
             for a, b, kind in decode(text, run, weights, training):
-                if not any(s < b and a < e for s, e, _ in base):
+                at = bisect_left(starts, b) - 1
+                if at < 0 or ends[at] <= a:
                     spans.append((a, b, kind))
     return base, sorted(spans, key=lambda s: (s[0], s[2], s[1]))
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,12 +54,22 @@ def test_query_against_patterns(spark, small):
         assert set(pii.written(base).split(",")) - {""} <= set(spans)
 
 
-def _training():
+def _runs():
     runs = []
     for k in range(60):
         runs += [f"call +1 ({200 + k}) 555-{1000 + 7 * k}", f"from 10.{k}.7.{k + 1}", f"mail user.{k}@host{k}.example.com"]
         runs += [f"in {1900 + k}", f"item {k * 7919} of {k}", f"sum {k}.{k} {k * 31}"]
-    return [(r, pii.base_spans(r)) for r in runs]
+        runs += [f"card {_card(k)}", f"of {k * 7919 + 10**7} and {k}", f"on {1 + k % 28}.{1 + k % 12}.{1990 + k}"]
+    return runs
+
+
+def _card(k):
+    start = f"4{k:03d}123412{k:02d}567"
+    return next(f"{d[:4]} {d[4:8]} {d[8:12]} {d[12:]}" for d in (start + str(c) for c in range(10)) if _luhn(d))
+
+
+def _training():
+    return pii.examples_of(_runs())
 
 
 def test_model_finds_the_base_spans_jointly():
@@ -88,6 +99,62 @@ def test_decoding_against_all_segmentations():
     assert abs(sum(lookup[s] for s in pii.decode(text, run, weights)) - best(0)) < 1e-9
 
 
+def test_spans_that_the_patterns_miss():
+    """Trained on some numbers and addresses, tested on others in forms that no pattern matches."""
+    weights = pii.train(_training())
+    wanted = found = right = 0
+    for k in range(60, 160):
+        values = (f"u{k}.x@site{k}.example.org", f"172.{k}.3.{k + 9}", _card(k), f"+1 ({300 + k}) 556-{2000 + 3 * k}")
+        for kind, (word, value) in enumerate(zip(("mail", "from", "card", "call"), values, strict=True)):
+            for form in pii.variants(kind, value):
+                text = f"then {word} {form} now"
+                assert pii.base_spans(text) == []
+                spans = pii.find_spans(text, weights)[1]
+                wanted += 1
+                found += len(spans)
+                right += spans == [(6 + len(word), 6 + len(word) + len(form), kind)]
+    assert right >= 0.9 * wanted and right >= 0.9 * found
+    for k in range(60, 160):
+        for text in (f"in {1900 + k} of {k}", f"item {k * 7919} of {k}", f"sum {k}.{k} {k * 31}", f"on {1 + k % 28}.{1 + k % 12}.{1990 + k}"):
+            assert pii.find_spans(text, weights)[1] == []
+
+
+def test_variants_match_no_pattern_and_keep_their_places():
+    import numpy as np
+
+    text = "to a.b@c.example.com and +1 (777) 555-1234 or 10.2.3.4 and 4111 1111 1111 1111 end"
+    spans = pii.base_spans(text)
+    for seed in range(50):
+        found = pii.rewritten(text, spans, np.random.default_rng(seed))
+        if found:
+            new, moved = found
+            assert [k for _, _, k in moved] == [k for _, _, k in spans]
+            for (a, b, k), (s, e, _) in zip(moved, spans, strict=True):
+                assert new[a:b] == text[s:e] or new[a:b] in pii.variants(k, text[s:e])
+    assert pii.rewritten("x 1", [], np.random.default_rng(0)) is None
+
+
+def test_a_text_of_many_addresses_takes_linear_time():
+    weights = pii.train(_training())
+
+    def seconds(n):
+        text = " ".join(f"u{k}@h{k}.example.com" if k % 2 else f"call u{k}[at]h{k}.example.com" for k in range(n))
+        began = time.process_time()
+        base, spans = pii.find_spans(text, weights)
+        assert len(base) == n // 2 < len(spans)
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(100_000) < 20 * max(seconds(10_000), 0.1)
+
+
+def test_segments_of_any_length_are_read():
+    long = "9" * 500
+    assert pii.segment_features(f"{long}@{long}.example.com", "", 1) is not None
+    (run,) = pii.candidate_runs("a" * 300 + " 12345678")
+    assert run.before == "a" * 300
+
+
 def test_masking():
     text = "a +1 (777) 555-1234 b x@y.example.com"
     base = pii.base_spans(text)
