@@ -29,10 +29,13 @@ class Rows:
         self.flat = [np.zeros(1024, np.int32) for _ in range(self.columns)]
         self.start = [np.zeros(1, np.int64) for _ in range(self.columns)]
 
+    def is_full(self) -> bool:
+        return len(self.place) > self.most or max(int(s[-1]) for s in self.start) > 20 * self.most
+
     def learn(self, distinct: Iterable) -> list:
         """Make sure all of ``distinct`` are known; the new ones, in the order of their places. Others may be
         forgotten, so it is called before any place is looked up."""
-        if len(self.place) > self.most or max(int(s[-1]) for s in self.start) > 20 * self.most:
+        if self.is_full():
             self.forget()
         new = list(set(distinct).difference(self.place))
         if new:
