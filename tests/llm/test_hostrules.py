@@ -101,7 +101,7 @@ def test_query_lets_the_verdict_of_a_host_decide(spark, make_docs, tmp_path):
     rows = [(i, good, "en", "fine") for i in range(300)]
     rows += [(1000 + i, bad if i % 5 else good, "en", "doubtful") for i in range(300)]
     rows += [(3000 + i, bad if i % 50 else good, "en", "spoilt") for i in range(300)]
-    rows += [(2000, some, "en", "fine"), (2001, some, "en", "doubtful"), (2002, good * 20_000, "en", "fine"), (2003, None, "en", None)]
+    rows += [(2000, some, "en", "fine"), (2001, some, "en", "doubtful"), (2002, " ".join(f"word{i} and other" for i in range(400_000)), "en", "fine"), (2003, None, "en", None)]
     make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
     found = {r["doc_id"]: r for r in op6_host_rules(spark, str(tmp_path)).collect()}
     assert [found[i]["host_verdict"] for i in (0, 1000, 3000)] == ["trusted", "suspect", "rejected"]
