@@ -1,20 +1,28 @@
 """N-gram Jaccard join with a MinHash LSH forest.
 
-Documents are sets of word five-grams. Each tree of the forest sorts the sets by a prefix of their
-MinHash signature. The matched prefix is shortened, from the full depth of a tree, until sets of the
-threshold similarity meet in some tree with the target recall. Sets that meet are verified exactly,
-by counting common five-grams.
+Documents are sets of word five-grams. Every tree of the forest sorts the sets by a signature of MinHash values:
+sets with a common prefix are neighbours, the nodes of a trie. One walk along the sorted entries
+connects the sets of all its nodes, at all depths. Sets that share a node of the full depth in some tree are
+candidates first, and are verified exactly, by counting common five-grams.
+
+The matched prefix is then shortened as the links found demand. A link of similarity s shares a node of depth d
+in some of t trees with the probability 1 - (1 - s**d)**t. So the links found say how many there are of each
+similarity, and how many of them every depth misses. The next depth is the longest that misses few enough for the
+target recall, and at the shortest one even links at the threshold are as good as all found. A corpus of close
+copies stops early, one with links near the threshold goes on. Only components that have grown are compared
+again.
 
 No pair is ever a row. Equal sets are one class first, so copies cost nothing. Classes that meet, in
 whatever tree, form candidate components; a component is compared in one task, or, cut into blocks, in
 one task for each pair of blocks. A task hands back one row for each class with a link: the number of
-its links and the least class it is connected with. Components beyond ``large`` classes (chains through
-passages that many documents share) are compared tree by tree instead, only where prefixes match, and a
-pair counts in the first tree where it meets.
+its links, the least class it is connected with, and how close its links are. Components beyond ``large``
+classes (chains through passages that many documents share) are compared tree by tree instead, only where
+prefixes match, and a pair counts in the first tree where it meets.
 
 Cases: null texts and texts without words link with nothing; texts of fewer than five words are one
-gram, the whole text. Repeated rows are copies of each other. Ids may be null or repeated. An empty
-table gives an empty result. Columns that have the name of a column added here are replaced.
+gram, the whole text. Texts of any length are read whole. Repeated rows are copies of each other. Ids may be null
+or repeated. Ties for the first document of a group go to the row read first. An empty table gives an empty
+result. Columns that have the name of a column added here are replaced.
 """
 
 from __future__ import annotations
@@ -25,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,22 +51,48 @@ class Forest:
     trees: int = 24
     depth: int = 8
     target_recall: float = 0.99999
+    # With fewer links than this, what they say about others is not relied on.
+    least_links: int = 200
     seed: int = 20
     # Classes in a block, and in a component that is compared as a whole.
     block: int = 512
     large: int = 8192
+    # Classes whose texts are looked up by a broadcast of their row numbers; more take a shuffle join.
+    broadcast_classes: int = 500_000
 
-    def prefix(self) -> int:
+    def missed(self, similarity: np.ndarray | float, depth: int) -> np.ndarray | float:
+        """The probability that sets share no node of that depth."""
+        return (1 - np.asarray(similarity) ** depth) ** self.trees
+
+    def least_depth(self) -> int:
         """The longest prefix at which sets at the threshold meet with the target recall."""
         s = self.threshold_of[0] / self.threshold_of[1]
         depth = self.depth
-        while depth > 1 and 1 - (1 - s**depth) ** self.trees < self.target_recall:
+        while depth > 1 and self.missed(s, depth) > 1 - self.target_recall:
             depth -= 1
         return depth
 
+    def next_depth(self, depth: int, links: np.ndarray) -> int | None:
+        """The depth to go on with after ``depth``, or None to stop: ``links`` counts the links found by
+        similarity, in equal bins from the threshold to 1."""
+        if depth <= self.least_depth():
+            return None
+        if links.sum() < self.least_links:
+            return self.least_depth()
+        s = self.threshold_of[0] / self.threshold_of[1]
+        # The lowest similarity of each bin, so that the estimate errs to the side of more.
+        similarity = s + (1 - s) * np.arange(len(links)) / len(links)
+        there = links / (1 - self.missed(similarity, depth))
+        for d in range(depth, self.least_depth(), -1):
+            if (there * self.missed(similarity, d)).sum() <= (1 - self.target_recall) * there.sum():
+                return d if d < depth else None
+        return self.least_depth()
+
 
 DEFAULT = Forest()
 ADDED = ("class_id", "n_links", "is_first")
+# Bins of similarity that links are counted in.
+BINS = 20
 
 
 def gram_hashes(text: str | None, gram: int) -> np.ndarray:
@@ -76,46 +111,112 @@ def gram_hashes(text: str | None, gram: int) -> np.ndarray:
 
 def _multipliers(forest: Forest) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(forest.seed)
-    n = forest.trees * forest.prefix()
+    n = forest.trees * forest.depth
     draw = lambda: rng.integers(0, 2**63, (n, 1), dtype=np.uint64)
     return draw() * np.uint64(2) + np.uint64(1), draw()
 
 
-def tree_keys(grams: np.ndarray, forest: Forest, by: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """A 64 bit key of the signature prefix for each tree."""
+def signature(grams: np.ndarray, by: tuple[np.ndarray, np.ndarray]) -> bytes:
+    """The MinHash values of all trees, 16 mixed bits of each, those of a tree together."""
     least = np.full(len(by[0]), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(grams), 1024):
         hashed = grams[at : at + 1024] * by[0]
         hashed += by[1]
         np.minimum(least, hashed.min(axis=1), out=least)
-    key = np.zeros(forest.trees, np.uint64)
-    for part in least.reshape(forest.trees, -1).T:
-        key = (key ^ part) * MIXER
-        key ^= key >> np.uint64(31)
-    return key.view(np.int64)
+    return (least * MIXER >> np.uint64(48)).astype(np.uint16).tobytes()
 
 
 def sign(docs: DataFrame, text: str, forest: Forest) -> DataFrame:
-    """``docs`` with ``_set`` (a digest of the set; null without words) and ``_keys``."""
+    """``docs`` with ``_set`` (a digest of the set; null without words) and ``_signature``."""
     kept = docs.schema.fields
-    added = [T.StructField("_set", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType()))]
+    added = [T.StructField("_set", T.BinaryType()), T.StructField("_signature", T.BinaryType())]
     schema = T.StructType([*kept, *added])
     names = [f.name for f in kept]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = _multipliers(forest)
         for batch in batches:
-            sets, keys = [], []
+            sets, signatures = [], []
             for t in batch.column(text).to_pylist():
                 grams = gram_hashes(t, forest.gram)
                 sets.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
-                keys.append(tree_keys(grams, forest, by) if len(grams) else None)
-            columns = [pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+                signatures.append(signature(grams, by) if len(grams) else None)
+            columns = [pa.array(sets, pa.binary()), pa.array(signatures, pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns], schema.fieldNames())
 
     return docs.mapInArrow(signed, schema)
 
 
+def _prefix(tree: Column, depth: int, forest: Forest) -> Column:
+    """The first ``depth`` values of a tree."""
+    return F.substring("signature", tree * (2 * forest.depth) + 1, F.lit(2 * depth))
+
+
+def trie_edges(classes: DataFrame, forest: Forest) -> DataFrame:
+    """``a``, ``b``, ``depth``: the edges of at least some depth connect the classes that share a node of
+    that depth in some tree.
+
+    The entries of all trees (class, signature of the tree) are sorted together, over any number of
+    tasks: a node that many classes share may span several. Along the sorted entries, each is connected with
+    the first of those with which it has as much in common as with the one before it; so the edges of a
+    node are stars, as many as levels below it. The ends of neighbouring tasks are compared afterwards.
+    """
+    spark, least, depth = classes.sparkSession, forest.least_depth(), forest.depth
+    trees = F.transform(F.sequence(F.lit(0), F.lit(forest.trees - 1)), lambda t: _prefix(t, depth, forest))
+    entries = classes.select("node", F.posexplode(trees).alias("tree", "prefix"))
+    order = ["tree", "prefix", "node"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = entries.select(order).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        ends: list[tuple] = []  # (tree, prefix, class) of the first entry and of the last so far
+        starts = np.zeros(depth + 1, np.int64)  # the class that the current run of each depth began with
+        for batch in batches:
+            if not len(batch):
+                continue
+            tree, node = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            data = batch.column(1).to_pylist()
+            before = ends[-1] if ends else (-1, data[0], -1)
+            values = np.frombuffer(b"".join([before[1], *data]), np.uint16).reshape(-1, depth)
+            same = (values[1:] == values[:-1]) & (tree == np.append(before[0], tree[:-1]))[:, None]
+            common = np.cumprod(same, axis=1).sum(axis=1)
+            first = np.empty(len(node), np.int64)
+            for d in range(least, depth + 1):
+                begins = np.maximum.accumulate(np.where(common < d, np.arange(len(node)), -1))
+                start = np.where(begins < 0, starts[d], node[begins])
+                starts[d] = start[-1]
+                first = np.where(common == d, start, first)
+            entry = lambda i: (int(tree[i]), data[i], int(node[i]))  # noqa: B023, E731
+            ends = [ends[0] if ends else entry(0), entry(-1)]
+            linked = common >= least
+            yield _edge_rows(node[linked], first[linked], common[linked])
+        for turn, (t, prefix, n) in enumerate(ends):
+            yield _edge_rows([n], [turn], [t], prefix, part)
+
+    schema = "a long, b long, depth int, part int, prefix binary"
+    walked = stored(ordered.mapInArrow(walk, schema), "trie")
+    # Two rows for each task. For these, b tells the first from the last, and depth is the tree.
+    found = sorted(walked.where("part is not null").collect(), key=lambda r: (r["part"], r["b"]))
+    across = []
+    for last, first in zip(found[1::2], found[2::2], strict=False):
+        x, y = (np.frombuffer(bytes(r["prefix"]), np.uint16) for r in (last, first))
+        common = int(np.cumprod(x == y).sum()) if last["depth"] == first["depth"] else 0
+        if common >= least:
+            across.append((first["a"], last["a"], common))
+    stitched = spark.createDataFrame(across, "a long, b long, depth int")
+    return walked.where("part is null").select("a", "b", "depth").unionByName(stitched)
+
+
+def _edge_rows(a, b, depth, prefix: bytes | None = None, part: int | None = None) -> pa.RecordBatch:
+    n = len(a)
+    columns = [
+        pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(depth, pa.int32()),
+        pa.array([part] * n, pa.int32()), pa.array([prefix] * n, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "depth", "part", "prefix"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``root`` (the least node connected with it) for every node of ``edges`` (a, b) that
     is not a root itself.
@@ -189,7 +290,8 @@ def _roots(link: np.ndarray) -> np.ndarray:
 
 
 def compare(node, block, copies, sets, keys, tree: int, forest: Forest):
-    """One task: (nodes with links, links of each, least connected node of each).
+    """One task: (nodes with links, links of each, least connected node of each, classes linked with each by
+    similarity).
 
     Rows of equal blocks are compared with each other only if the task has one block. ``keys`` are
     needed where ``tree`` is not negative: pairs that meet in an earlier tree are left to that.
@@ -211,7 +313,12 @@ def compare(node, block, copies, sets, keys, tree: int, forest: Forest):
         for t in range(tree):
             link &= table[:, None, t] != table[None, :, t]
     linked = link.any(axis=1)
-    return node[linked], (link @ copies)[linked], node[_roots(link)][linked]
+    i, j = np.nonzero(link)
+    similarity = common[i, j] / (size[i] + size[j] - common[i, j])
+    least = part / whole
+    at = np.clip(((similarity - least) / (1 - least) * BINS).astype(np.int64), 0, BINS - 1)
+    near = np.bincount(i * BINS + at, minlength=len(node) * BINS).reshape(-1, BINS)
+    return node[linked], (link @ copies)[linked], node[_roots(link)][linked], near[linked]
 
 
 def _tasks(group: list[Column], size: Column, forest: Forest) -> list[Column]:
@@ -231,17 +338,18 @@ TASK = ["tree", "key", "low", "high"]
 def verified(tasks: DataFrame, forest: Forest) -> DataFrame:
     """``tasks`` compared: node, links, root. Rows of a task are neighbours after a sort, and a task
     is bounded by two blocks, so groups are cut out of the stream."""
-    names = [*TASK, "block", "node", "copies", "grams", "keys"]
-    schema = "node long, links long, root long"
+    names = [*TASK, "block", "node", "copies", "text", "keys"]
+    schema = "node long, links long, root long, near array<int>"
 
     def finish(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True))
-        sets = [np.frombuffer(g, np.uint64) for g in columns[7]]
+        sets = [gram_hashes(t, forest.gram) for t in columns[7]]
         tree = columns[0][0]
         keys = [np.array(k) for k in columns[8]] if tree >= 0 else None
         numbers = [np.array(columns[i], np.int64) for i in (5, 4, 6)]
-        found = compare(*numbers, sets, keys, tree, forest)
-        return pa.RecordBatch.from_arrays([pa.array(f.astype(np.int64)) for f in found], ["node", "links", "root"])
+        *found, near = compare(*numbers, sets, keys, tree, forest)
+        columns = [*(pa.array(f.astype(np.int64)) for f in found), pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays(columns, ["node", "links", "root", "near"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_rows: list[tuple] = []
@@ -258,21 +366,69 @@ def verified(tasks: DataFrame, forest: Forest) -> DataFrame:
     return tasks.select(names).repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(compared, schema)
 
 
-def _payload(signed: DataFrame, text: str, wanted: DataFrame, forest: Forest) -> DataFrame:
-    """Five-grams of one document of each class in ``wanted`` (node, first_row, copies, ...), found by its
-    row number: ids may be null or repeated any number of times."""
-    rest = [f for f in wanted.schema.fields if f.name != "first_row"]
-    schema = T.StructType([*rest, T.StructField("grams", T.BinaryType())])
-    texts = signed.select("_row", F.col(text).alias("_text"))
-    joined = texts.join(wanted, F.col("_row") == F.col("first_row")).select("_text", *[f.name for f in rest])
+def _texts(signed: DataFrame, text: str, wanted: DataFrame, forest: Forest) -> DataFrame:
+    """``wanted`` (node, first_row, ...) with the text of one document of each class, found by its row
+    number: ids may be null or repeated any number of times."""
+    if wanted.count() <= forest.broadcast_classes:
+        wanted = F.broadcast(wanted)
+    texts = signed.select("_row", F.col(f"`{text}`").alias("text"))
+    return texts.join(wanted, F.col("_row") == F.col("first_row")).drop("_row", "first_row")
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [gram_hashes(t, forest.gram).tobytes() for t in batch.column(0).to_pylist()]
-            columns = [*batch.columns[1:], pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
-    return joined.mapInArrow(grams, schema)
+def _candidates(edges: DataFrame, before: DataFrame | None, forest: Forest) -> DataFrame:
+    """``node``, ``root``, ``size`` of the components of ``edges``, and whether they have ``grown``: they are
+    not one of the components ``before``, or they are so large that they were not compared as a whole."""
+    roots = components(edges)
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    if before is None:
+        members = members.withColumn("old", F.col("node"))
+    else:
+        members = members.join(before.select("node", F.col("root").alias("old")), "node", "left")
+        members = members.withColumn("old", F.coalesce("old", "node"))
+    facts = members.groupBy("root").agg(
+        F.count(F.lit(1)).alias("size"), ((F.min("old") != F.max("old")) | (F.count(F.lit(1)) > forest.large)).alias("grown")
+    )
+    return stored(members.drop("old").join(facts, "root"), "candidates")
+
+
+def _compared(candidates: DataFrame, classes: DataFrame, signed: DataFrame, text: str, depth: int, forest: Forest) -> DataFrame:
+    """The links of the candidates: node, links, root, near."""
+    wanted = stored(candidates.join(classes.select("node", "first_row", "copies", "signature"), "node"), "wanted")
+    small = wanted.where(F.col("size") <= forest.large).drop("signature")
+    tasks = _texts(signed, text, small, forest).select(
+        "node", "copies", "text", F.lit(None).cast("array<bigint>").alias("keys"),
+        *_tasks([F.lit(-1).alias("tree"), F.col("root").alias("key")], F.col("size"), forest),
+    )
+    large = wanted.where(F.col("size") > forest.large)
+    if not large.isEmpty():
+        # Only where prefixes match: the nodes of this depth, each a group of its own.
+        keys = F.transform(F.sequence(F.lit(0), F.lit(forest.trees - 1)), lambda t: F.xxhash64(_prefix(t, depth, forest)))
+        large = stored(large.withColumn("keys", keys).drop("signature"), "large")
+        members = large.select("node", F.posexplode("keys").alias("tree", "key"))
+        groups = members.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = members.join(groups, ["tree", "key"])
+        parts = met.join(_texts(signed, text, large, forest).select("node", "copies", "text", "keys"), "node").select(
+            "node", "copies", "text", "keys", *_tasks([F.col("tree"), F.col("key")], F.col("n"), forest)
+        )
+        tasks = tasks.unionByName(parts)
+    return stored(verified(tasks.select("*", "pair.*"), forest), "links")
+
+
+def linked_classes(classes: DataFrame, signed: DataFrame, text: str, forest: Forest = DEFAULT) -> tuple[DataFrame, int]:
+    """(node, links, root, near of every class with a link; the depth at which matching stopped)."""
+    edges = trie_edges(classes, forest)
+    depth, before, found = forest.depth, None, None
+    while True:
+        candidates = _candidates(edges.where(F.col("depth") >= depth).select("a", "b"), before, forest)
+        grown = candidates if before is None else candidates.where("grown")
+        new = _compared(grown, classes, signed, text, depth, forest)
+        found = new if found is None else found.join(grown.select("node"), "node", "left_anti").unionByName(new)
+        sums = found.agg(*[F.coalesce(F.sum(F.get("near", F.lit(i))), F.lit(0)).alias(f"n{i}") for i in range(BINS)]).first()
+        # Each link is seen from both its ends.
+        shorter = forest.next_depth(depth, np.array(sums, np.float64) / 2)
+        if shorter is None:
+            return found, depth
+        depth, before = shorter, candidates
 
 
 def near_duplicates(
@@ -286,43 +442,20 @@ def near_duplicates(
     documents connected by links, ``n_links``, the number of documents it has a link with, copies
     included, and ``is_first``, true for one document of each such group (one with the least id).
     Documents without words have their own id and no links and are first."""
-    docs = without(docs, (*ADDED, "_set", "_keys", "_row"))
-    # The texts are stored with their row numbers, even if they are not handed back: see ``_payload``.
+    docs = without(docs, (*ADDED, "_set", "_signature", "_row"))
+    # The texts are stored with their row numbers, even if they are not handed back: see ``_texts``.
     signed = sign(docs, text, forest).withColumn("_row", F.monotonically_increasing_id())
-    signed = stored(signed, "signed")
+    signed = stored(signed, "signed", compression="zstd")
     order = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_row")
     classes = (
         signed.where("_set is not null")
         .groupBy("_set")
-        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("_keys").alias("keys"))
-        .select("_set", "first", F.col("first._row").alias("first_row"), "copies", "keys")
+        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("_signature").alias("signature"))
+        .select("_set", "first", F.col("first._row").alias("first_row"), "copies", "signature")
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = stored(classes, "classes")
-    members = classes.select("node", F.posexplode("keys").alias("tree", "key"))
-    groups = members.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).where("n > 1")
-    met = stored(members.join(groups, ["tree", "key"]), "met")
-    roots = components(met.select(F.col("node").alias("a"), F.col("least").alias("b")))
-    sizes = roots.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("size"))
-    candidates = roots.unionByName(sizes.select(F.col("root").alias("node"), "root")).join(sizes, "root")
-    wanted = candidates.join(classes, "node")
-    payload = stored(
-        _payload(signed, text, wanted.select("node", "first_row", "copies", "keys", "root", "size"), forest),
-        "payload",
-    )
-    whole = payload.where(F.col("size") <= forest.large).select(
-        "node", "copies", "grams", F.lit(None).cast("array<bigint>").alias("keys"),
-        *_tasks([F.lit(-1).alias("tree"), F.col("root").alias("key")], F.col("size"), forest),
-    )
-    by_tree = payload.where(F.col("size") > forest.large)
-    if by_tree.isEmpty():
-        tasks = whole
-    else:
-        parts = met.join(by_tree.select("node", "copies", "grams", "keys"), "node").select(
-            "node", "copies", "grams", "keys", *_tasks([F.col("tree"), F.col("key")], F.col("n"), forest)
-        )
-        tasks = whole.unionByName(parts)
-    found = stored(verified(tasks.select("*", "pair.*"), forest), "links")
+    found, _ = linked_classes(classes, signed, text, forest)
     linked = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = classes.select("_set", "node", "first", "copies").join(linked, "node", "left").join(links, "node", "left")
@@ -333,7 +466,7 @@ def near_duplicates(
     )
     out = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text]
     alone = F.col("_set").isNull()
-    return signed.drop("_keys").join(result, "_set", "left").select(
+    return signed.drop("_signature").join(result, "_set", "left").select(
         *out,
         F.when(alone, F.col(doc_id)).otherwise(F.col("least.id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

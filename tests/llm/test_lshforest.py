@@ -120,14 +120,89 @@ def test_common_counts():
                 assert found[i, j] == len(np.intersect1d(sets[i], sets[j]))
 
 
-def test_prefix_is_the_longest_with_the_recall():
+def test_least_depth_is_the_longest_with_the_recall():
     forest = lshforest.DEFAULT
     recall = lambda d: 1 - (1 - 0.8**d) ** forest.trees
-    assert recall(forest.prefix()) >= forest.target_recall > recall(forest.prefix() + 1)
+    assert recall(forest.least_depth()) >= forest.target_recall > recall(forest.least_depth() + 1)
+
+
+def test_next_depth_follows_from_the_links_found():
+    forest, none = lshforest.DEFAULT, np.zeros(lshforest.BINS)
+    close, middle, far = none.copy(), none.copy(), none.copy()
+    close[-2:], middle[6], far[0] = 1000, 1000, 1000
+    assert forest.next_depth(8, close) is None
+    assert forest.next_depth(8, far) == forest.least_depth() == 4
+    # Links at 0.86, few or many, decide for a depth between; a millionth part of a link at 0.8 does not count.
+    assert forest.next_depth(8, close + far / 1e6) is None
+    assert forest.next_depth(8, middle) == 6 and forest.next_depth(8, close + middle) in (6, 7)
+    # Too few links say nothing; at the least depth there is nothing left.
+    assert forest.next_depth(8, close / 100) == 4 and forest.next_depth(4, far) is None
+
+
+def _signed(spark, make_docs, texts, forest):
+    from tallysheet.llm.tables import stored
+
+    docs = make_docs(list(enumerate(texts))).select("doc_id", "text")
+    signed = stored(lshforest.sign(docs, "text", forest).withColumnRenamed("doc_id", "_row"), "signed")
+    classes = signed.selectExpr("_set", "_row as first_row", "1L as copies", "_signature as signature", "_row as node")
+    return signed, stored(classes, "classes")
+
+
+def test_trie_edges_connect_the_nodes_of_every_depth(spark, make_docs):
+    """Against grouping by prefix, with entries of one node spread over several tasks."""
+    texts = sorted(set(_texts(3, [(60, 8), (20, 3), (9, 20), (1, 0), (1, 0)])))
+    forest = dataclasses.replace(lshforest.DEFAULT, trees=6)
+    _, classes = _signed(spark, make_docs, texts, forest)
+    edges = lshforest.trie_edges(classes, dataclasses.replace(forest, target_recall=0.99)).collect()
+    least = dataclasses.replace(forest, target_recall=0.99).least_depth()
+    signatures = {r["node"]: np.frombuffer(bytes(r["signature"]), np.uint16).reshape(6, 8) for r in classes.collect()}
+
+    def parts(pairs):
+        parent = {n: n for n in signatures}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in pairs:
+            parent[find(a)] = find(b)
+        groups = {}
+        for n in signatures:
+            groups.setdefault(find(n), set()).add(n)
+        return sorted(map(sorted, groups.values()))
+
+    for depth in range(least, 9):
+        met = {}
+        for n, s in signatures.items():
+            for t in range(6):
+                met.setdefault((t, s[t, :depth].tobytes()), []).append(n)
+        expected = parts([(g[0], x) for g in met.values() for x in g])
+        assert parts([(r["a"], r["b"]) for r in edges if r["depth"] >= depth]) == expected, depth
+
+
+def test_the_depth_is_an_outcome_of_the_links(spark, make_docs):
+    """Close copies stop at the full depth, looser ones are matched by shorter prefixes; both lose nothing."""
+    depths = {}
+    for name, groups in (("close", [(40, 0), (1, 0)] * 6), ("loose", [(12, 3), (1, 0)] * 12)):
+        rng = random.Random(7)
+        word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))  # noqa: B023, E731
+        texts = _texts(11, groups)
+        if name == "close":
+            # One word in a thousand differs.
+            long = [[word() for _ in range(1000)] for _ in range(8)]
+            texts = [" ".join([*base[:k], word(), *base[k + 1 :]]) for base in long for k in range(0, 1000, 60)]
+        rows = list(enumerate(texts))
+        signed, classes = _signed(spark, make_docs, texts, lshforest.DEFAULT)
+        found, depths[name] = lshforest.linked_classes(classes, signed, "text")
+        links = {r["node"]: r["links"] for r in found.groupBy("node").agg({"links": "sum"}).withColumnRenamed("sum(links)", "links").collect()}
+        if len(set(texts)) == len(texts):
+            assert [links.get(i, 0) for i in range(len(texts))] == [n for _, _, n in _brute(rows)]
+    assert depths["close"] == 8 > depths["loose"] >= 4
 
 
 def test_null_ids_do_not_meet_each_other(spark, make_docs, monkeypatch):
-    """No step reads more than a few rows a document, though all ids are null or the same."""
+    """No step reads more than an entry a tree for each document, though all ids are null or the same."""
     texts = _texts(5, [(2, 1)] * 40)
     rows = [(None if i % 2 else 7, t) for i, t in enumerate(texts)]
     docs, read = make_docs(rows), []
@@ -140,4 +215,4 @@ def test_null_ids_do_not_meet_each_other(spark, make_docs, monkeypatch):
     monkeypatch.setattr(type(docs), "mapInArrow", counted)
     found = lshforest.near_duplicates(docs, keep_text=False).select("doc_id", "class_id", "n_links").collect()
     assert _sorted([tuple(r) for r in found]) == _sorted(_brute(rows))
-    assert max(read) <= 2 * len(rows)
+    assert max(read) <= lshforest.DEFAULT.trees * len(rows)
