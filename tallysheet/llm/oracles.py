@@ -155,7 +155,7 @@ WITH cut AS (
 ), mined AS (
   SELECT rule, need, verdict, freq::DOUBLE / n AS support, freq::DOUBLE / every AS confidence
   FROM counted JOIN labels USING (rule), labelled
-  WHERE freq >= ceil({mining.min_support} * n) AND freq::DOUBLE / every >= {mining.min_confidence}
+  WHERE freq >= ceil({mining.min_support} * n) AND freq >= {mining.min_urls} AND freq::DOUBLE / every >= {mining.min_confidence}
 ), best AS (
   SELECT s.page, m.rule AS mined_rule, m.verdict AS mined, m.confidence AS mined_confidence
   FROM sets s JOIN mined m USING (rule)

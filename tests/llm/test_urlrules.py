@@ -33,7 +33,7 @@ def _mined(parsed, mining):
             for c in itertools.combinations(sorted(tokens), n):
                 alone[c] = alone.get(c, 0) + 1
                 labels[c, verdict] = labels.get((c, verdict), 0) + 1
-    least = -(-mining.min_support * len(labelled) // 1)
+    least = max(mining.min_urls, -(-mining.min_support * len(labelled) // 1))
     rules = [(-n / alone[c], -n / len(labelled), len(c), " ".join(c), v, set(c)) for (c, v), n in labels.items() if n >= least]
     return sorted(r for r in rules if -r[0] >= mining.min_confidence)
 
@@ -85,3 +85,25 @@ def test_cases(spark):
     assert got == {k: _parse(u) for k, u in enumerate(urls) if k != 1}
     assert all(r["verdict"] == "allow" and r["rule"] is None for r in rows)
     assert urlrules.judge(pages.limit(0)).collect() == []
+
+
+def test_a_longer_rule_goes_if_a_shorter_one_is_as_good(spark):
+    rules = [("a", 0.5, 0.95), ("a b", 0.4, 0.95), ("a b c", 0.4, 1.0), ("b c", 0.3, 0.99), ("a c", 0.2, 0.9), ("c d", 0.2, 0.9), ("b c d", 0.1, 0.99)]
+    df = spark.createDataFrame([(t.split(), "block", s, c) for t, s, c in rules], "tokens array<string>, verdict string, support double, confidence double")
+    assert sorted(" ".join(r["tokens"]) for r in urlrules.pruned(df).collect()) == ["a", "a b c", "b c", "c d"]
+
+
+def test_rules_are_few_and_stand_under_their_rarest_token(spark):
+    urls = [f"http://h{i % 40}.example.com/{'de' if i % 2 else 'xx'}/{i % 7}/p.html?q={i}" for i in range(400)]
+    urls += [f"http://w{i % 40}.site.org/{'fr' if i % 2 else 'yy'}/{i % 7}/p.html?q={i}" for i in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = urlrules.host_of(F.col("url")), urlrules.path_of(F.col("url"))
+    listed = urlrules.list_rule(host, path, urlrules.LIST_RULES)
+    labelled = pages.select(urlrules.tokens_of(F.col("url"), host, path).alias("tokens"), listed["verdict"].alias("label")).where("label is not null")
+    rules = urlrules.mine(labelled).collect()
+    assert 0 < len(rules) < 150 and all(r["rarest"] in r["tokens"] and r["support"] * labelled.count() >= 2.99 for r in rules)
+    assert not any("scheme:http" in r["tokens"] for r in rules)
+    sets = pages.select(urlrules.tokens_of(F.col("url"), host, path).alias("tokens")).distinct()
+    plain = urlrules.match(sets, spark.createDataFrame(rules, "tokens array<string>, verdict string, support double, confidence double, rarest string"))
+    apart = urlrules.match(sets, spark.createDataFrame(rules, "tokens array<string>, verdict string, support double, confidence double, rarest string"), urlrules.Mining(broadcast_bytes=0))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, apart.collect()))
