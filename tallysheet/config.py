@@ -79,6 +79,9 @@ class Rules:
     first_month: str = FIRST_MONTH
     # Dimensions whose tables have up to so many bytes are broadcast; larger ones take the shuffle join.
     broadcast_bytes: int = 64 << 20
+    # Size of the table that voucher lines outside a load window are dropped by, in words of 8 bytes; it
+    # works best with at least one word for every six vouchers of the window.
+    key_filter_words: int = 1 << 17
     # How time is cut in the price lookup: a running window spans one article and one slice.
     price_slice: str = "day"
 

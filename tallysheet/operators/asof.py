@@ -87,6 +87,7 @@ def asof_join(
     matched_ts: str = "matched_ts",
     tie_break: Sequence[str] | None = None,
     slice_of: Callable[[str], Column] = F.to_date,
+    parts: int | None = None,
 ) -> DataFrame:
     """Left outer as-of join; adds ``values`` and ``matched_ts``, null where nothing matches.
 
@@ -94,17 +95,25 @@ def asof_join(
     before it; ``inclusive=False`` excludes equal times. Right rows that share key and time are
     reduced to the one lowest in ``tie_break`` (default: ``values``), nulls last. Rows with a null
     key or time match nothing. ``slice_of`` maps a time to its slice and must not decrease.
+
+    With ``parts`` the right side is stored in that many buckets of ``by`` (see ``write_bucketed``), and is not
+    moved: the left instants come to it. All of a key is one task then, so this is for keys whose distinct
+    instants a task can sort.
     """
     forward = _check(direction)
     changes = _changes(right, by, right_ts, values, tie_break or values)
     hit_type = changes.schema["_hit"].dataType
+    # Where the events of a key, or of a slice of a key, are put together.
+    together = (lambda df: df.repartition(parts, *by)) if parts else (lambda df: df.repartition(*by, "_slice"))
 
     instants = left.where(_present([*by, left_ts])).select(*by, F.col(left_ts).alias("_t")).distinct()
-    events = instants.select(
-        *by, "_t", F.lit(0).alias("_side"), F.lit(None).cast(hit_type).alias("_hit")
-    ).unionByName(changes.select(*by, "_t", F.lit(1).alias("_side"), "_hit"))
+    asked = instants.select(*by, "_t", F.lit(0).alias("_side"), F.lit(None).cast(hit_type).alias("_hit"))
+    known = changes.select(*by, "_t", F.lit(1).alias("_side"), "_hit")
     # Shuffled once for both uses below: neither the aggregate nor the window adds an exchange.
-    events = events.withColumn("_slice", slice_of("_t")).repartition(*by, "_slice")
+    if parts:
+        events = together(asked).unionByName(known).withColumn("_slice", slice_of("_t"))
+    else:
+        events = together(asked.unionByName(known).withColumn("_slice", slice_of("_t")))
 
     # One row per key and slice: does the left side need it, and its outermost change.
     # Instants are unique among the changes of a key, so their values are picked one by one.
@@ -123,8 +132,9 @@ def asof_join(
         cells.withColumn("_hit", F.last("_edge", ignorenulls=True).over(beyond))
         .where(F.col("_wanted") & F.col("_hit").isNotNull())
         .select(*by, F.col("_hit")["ts"].alias("_t"), F.lit(1).alias("_side"), "_hit", "_slice")
-        .repartition(*by, "_slice")
     )
+    if not parts:
+        carried = together(carried)
 
     time = F.col("_t").desc() if forward else F.col("_t").asc()
     side = F.col("_side").desc() if inclusive else F.col("_side").asc()
@@ -143,7 +153,7 @@ def asof_join(
     return _unpack(left.join(answers, reduce(and_, same), "left"), left, values, matched_ts)
 
 
-def asof_join_small(
+def asof_join_arrays(
     left: DataFrame,
     right: DataFrame,
     by: Sequence[str],
@@ -154,29 +164,36 @@ def asof_join_small(
     inclusive: bool = True,
     matched_ts: str = "matched_ts",
     tie_break: Sequence[str] | None = None,
-    max_rows: int = 200_000,
-    max_per_key: int = 1_000,
+    slice_of: Callable[[str], Column] = F.to_date,
+    longest: int = 10_000,
 ) -> DataFrame:
-    """Same result for a small right side: broadcast it as one sorted array per key.
+    """Same result, without a sort of the left rows: a sorted array of right rows for each key and slice,
+    in which every left row of that cell looks for its match.
 
-    Both the number of right rows and the longest array are counted first, because every left row
-    walks the array of its key; past either bound this is ``asof_join``.
+    A cell that has no match for its last instants takes the outermost right row of the nearest cell that has
+    one. The cells meet the left rows in a shuffle join, unique on their side, so hot cells are split. As every
+    left row walks its array, a cell with more than ``longest`` instants stops the job: choose shorter slices,
+    or ``asof_join``. No size is counted beforehand.
     """
     forward = _check(direction)
     changes = _changes(right, by, right_ts, values, tie_break or values)
-    size = changes.groupBy(*by).count().agg(F.sum("count").alias("n"), F.max("count").alias("m"))
-    rows, longest = size.first()
-    if (rows or 0) > max_rows or (longest or 0) > max_per_key:
-        return asof_join(
-            left, right, by, left_ts, right_ts, values, direction, inclusive, matched_ts, tie_break
-        )
-
-    arrays = changes.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
-        F.sort_array(F.collect_list("_hit")).alias("_hits")
-    )
-    joined = left.join(
-        F.broadcast(arrays), reduce(and_, [left[c] == F.col(f"_by_{c}") for c in by]), "left"
+    hit_type = changes.schema["_hit"].dataType
+    asked = left.where(_present([*by, left_ts])).select(*by, slice_of(left_ts).alias("_slice")).distinct()
+    cells = (
+        changes.select(*by, slice_of("_t").alias("_slice"), "_hit", F.lit(False).alias("_asked"))
+        .unionByName(asked.select(*by, "_slice", F.lit(None).cast(hit_type).alias("_hit"), F.lit(True).alias("_asked")))
+        .groupBy(*by, "_slice")
+        .agg(F.sort_array(F.collect_list("_hit")).alias("_hits"), F.bool_or("_asked").alias("_asked"))
     )
+    order = F.col("_slice").desc() if forward else F.col("_slice").asc()
+    beyond = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    edge = F.try_element_at("_hits", F.lit(1 if forward else -1))
+    cells = cells.withColumn("_edge", F.last(edge, ignorenulls=True).over(beyond)).where("_asked")
+    too_long = F.raise_error(F.concat(F.lit("right rows in one slice: "), F.size("_hits").cast("string"))).cast(cells.schema["_hits"].dataType)
+    cells = cells.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], "_slice", "_edge",
+        F.when(F.size("_hits") <= longest, F.col("_hits")).otherwise(too_long).alias("_hits"),
+    )
     ts = left[left_ts]
 
     def reachable(hit: Column) -> Column:
@@ -184,5 +201,7 @@ def asof_join_small(
             return hit["ts"] >= ts if inclusive else hit["ts"] > ts
         return hit["ts"] <= ts if inclusive else hit["ts"] < ts
 
+    same = [left[c] == F.col(f"_by_{c}") for c in by] + [slice_of(ts) == F.col("_slice")]
+    joined = left.join(cells, reduce(and_, same), "left")
     nearest = F.try_element_at(F.filter("_hits", reachable), F.lit(1 if forward else -1))
-    return _unpack(joined.withColumn("_hit", nearest), left, values, matched_ts)
+    return _unpack(joined.withColumn("_hit", F.coalesce(nearest, F.col("_edge"))), left, values, matched_ts)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallysheet.config import DEFAULT_RULES, Rules
-from tallysheet.operators.asof import asof_join, asof_join_small
+from tallysheet.operators.asof import asof_join, asof_join_arrays
 from tallysheet.operators.latest import latest_by
 
 # A price belongs to a voucher's article, not to a line: all lines of the key share the price
@@ -29,14 +29,16 @@ def price_at_sale(
     history: DataFrame,
     rules: Rules = DEFAULT_RULES,
     direction: str = "forward",
-    small_history: bool = False,
+    arrays: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add the price in force at the sale, the time of the change it came from, and a found flag.
 
     The first change at or after the sale counts (``direction='backward'``: the last at or before
     it); without one, or when that change has no price, the current catalogue price does.
 
-    Everything is worked out on a narrow table of one row per price key, fallback included. The
+    ``arrays`` chooses the as-of join without a sort, ``parts`` says that the history is stored in so many buckets
+    of the article and is to stay where it is. Everything is worked out on a narrow table of one row per price key, fallback included. The
     sales themselves are shuffled once, for the join that brings the result back.
     """
     # Without an article there is neither history nor fallback. Leaving these rows out here gives
@@ -48,9 +50,8 @@ def price_at_sale(
         .groupBy(*PRICE_KEY)
         .agg(F.min("fecha_comprobante").alias("_first_sale"))
     )
-    join = asof_join_small
-    if not small_history:
-        join = partial(asof_join, slice_of=lambda t: F.date_trunc(rules.price_slice, t))
+    form = asof_join_arrays if arrays else partial(asof_join, parts=parts)
+    join = partial(form, slice_of=lambda t: F.date_trunc(rules.price_slice, t))
     matched = join(
         firsts,
         history,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from tallysheet.operators.mart import fct_sales
 from tallysheet.operators.prices import price_at_sale
 from tallysheet.operators.pricing import branch, breakdown, final_price
 from tallysheet.operators.staging import STAGING
+from tallysheet.sinks.tables import replace_table
 from tallysheet.sources.tables import Catalog, raw, register
 
 
@@ -46,20 +48,20 @@ def staged_from_catalog(spark: SparkSession, catalog: Catalog) -> Staged:
     return staged({table: raw(spark, catalog, table) for table, _ in STAGING.values()})
 
 
-def priced_sales(s: Staged, rules: Rules = DEFAULT_RULES, small_history: bool = False) -> DataFrame:
+def priced_sales(s: Staged, rules: Rules = DEFAULT_RULES, arrays: bool = False) -> DataFrame:
     """Sales with account, supplier price, article attributes, final price and breakdown.
 
     Accounts come first because they drop rows; prices next, so that the one shuffle of the sales
     happens before the article columns widen the rows.
     """
     rows = attach_accounts(s.sales, s.clients, s.sellers, rules)
-    rows = price_at_sale(rows, s.price_history, rules, small_history=small_history)
+    rows = price_at_sale(rows, s.price_history, rules, arrays=arrays)
     rows = enrich_articles(rows, s.articulos, s.rubros, s.marcas_lineas, rules)
     return breakdown(branch(final_price(rows), rules))
 
 
-def build_fact(s: Staged, rules: Rules = DEFAULT_RULES, small_history: bool = False) -> DataFrame:
-    return fct_sales(priced_sales(s, rules, small_history), rules)
+def build_fact(s: Staged, rules: Rules = DEFAULT_RULES, arrays: bool = False) -> DataFrame:
+    return fct_sales(priced_sales(s, rules, arrays), rules)
 
 
 def intermediate_models(s: Staged, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
@@ -86,6 +88,17 @@ def register_models(s: Staged, rules: Rules = DEFAULT_RULES) -> list[str]:
     return [name for name, df in models.items() if register(df, name) is df]
 
 
+def store_models(s: Staged, catalog: Catalog, names: Iterable[str] | None = None, rules: Rules = DEFAULT_RULES) -> dict[str, int]:
+    """Write the staged and intermediate models (or some of them) as tables of their layers, for readers that want
+    them stored; returns rows per table. A model without rows leaves its table as it was."""
+    models = s.models() | intermediate_models(s, rules)
+    wanted = list(models) if names is None else list(names)
+    if unknown := set(wanted) - set(models):
+        raise ValueError(f"unknown models: {sorted(unknown)}")
+    layer = lambda name: catalog.layer("staging" if name.startswith("stg_") else "intermediate")
+    return {name: replace_table(models[name], f"{layer(name)}.{name}") for name in wanted}
+
+
 def models_to_check(s: Staged, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
     """The same models for the checks. Every one from the account join on has the same rows, and
     the last has all the columns, so the checks read that one instead of each in turn."""

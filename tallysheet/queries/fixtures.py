@@ -1,7 +1,7 @@
 """The supplied tables seen as source-side tables.
 
 The same SQL text runs in Spark and in DuckDB. Column values are derived so that every rule is
-exercised: vouchers that are voided or not known to be, repeated voucher numbers with two dates, halves as
+exercised: amounts with five to eight fraction digits and rates with ten, vouchers that are voided or not known to be, repeated voucher numbers with two dates, halves as
 numbers, unknown types, excluded articles, secondary and missing accounts, malformed codes, articles with
 several suppliers and with no price history.
 """
@@ -69,8 +69,9 @@ select {_DB.format(k='l_orderkey')} as db,
   cast(l_partkey as string) as codigoarticulo,
   concat('P', cast(l_partkey as string)) as codigoparticular,
   concat('Voucher text ', cast(l_partkey as string)) as descripcion,
-  l_quantity as cantidad, l_extendedprice as preciounitario, l_extendedprice as preciototal,
-  l_tax as costoventa, l_discount as descuento,
+  l_quantity + cast(l_orderkey % 7 as double) / 1e5 as cantidad, l_extendedprice as preciounitario,
+  l_extendedprice + cast(l_partkey % 1000 as double) / 1e8 as preciototal,
+  l_tax + cast(l_suppkey % 10 as double) / 1e6 as costoventa, l_discount as descuento,
   lpad(cast(l_linenumber % 4 as string), 3, '0') as codigodeposito
 from lineitem""",
     "src_clients": """
@@ -83,7 +84,8 @@ select cast(c_custkey as string) as codigocliente,
   cast(c_nationkey as string) as vendedor,
   c_mktsegment as zona,
   case when c_custkey % 97 = 0 then concat('(1.2.3) M-', cast(c_custkey as string))
-       when c_custkey % 3 <> 1 then concat('(', cast(c_custkey % 40 as string), '.50) M-', cast(c_custkey as string))
+       when c_custkey % 3 <> 1 then concat('(', cast(c_custkey % 40 as string), case when c_custkey % 5 = 0 then '.0512345678' else '.50' end,
+         ') M-', cast(c_custkey as string))
        else c_mktsegment end as barrio,
   c_custkey % 3 <> 1 as gm, c_custkey % 7 = 0 as ag,
   c_custkey % 10 = 3 as es_excel, false as es_agro, false as es_plan_gomeria,
@@ -137,7 +139,7 @@ select concat('T', cast(p_partkey as string)) as codigo, cast(p_partkey as strin
 from part where p_partkey % 4 = 0""",
     "src_changes": """
 select concat('S', cast(l_partkey as string)) as codigoarticuloproveedor,
-  l_shipdate as fechamodificacion, l_extendedprice as precio
+  l_shipdate as fechamodificacion, l_extendedprice + cast(l_orderkey % 100 as double) / 1e7 as precio
 from lineitem where not (l_partkey % 4 = 0 and l_linenumber = 2)
 union all
 select concat('T', cast(l_partkey as string)) as codigoarticuloproveedor,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallysheet.functions import discount_percent, discount_text, to_whole
 from tallysheet.operators.accounts import attach_accounts, detect_gm, resolve_account
 from tallysheet.operators.articles import brand_of, enrich_articles
-from tallysheet.operators.asof import asof_join, asof_join_small
+from tallysheet.operators.asof import asof_join, asof_join_arrays
 from tallysheet.operators.latest import latest_by
 from tallysheet.operators.prices import price_at_sale
 from tallysheet.operators.pricing import branch, breakdown, final_price
@@ -21,7 +21,10 @@ from tallysheet.operators.staging import (
     stg_sellers,
 )
 from tallysheet.queries import fixtures as fx
+from tallysheet.queries.oracle import digits
 from tallysheet.queries.registry import query
+from tallysheet.scratch import scratch_dir
+from tallysheet.sinks.tables import write_bucketed
 from tallysheet.sources.extract import extract_brand_lines, extract_rubros, extract_sellers
 
 
@@ -56,7 +59,7 @@ def _history(spark, sf_dir):
 
 
 def _amounts(*names):
-    return ", ".join(f"cast({n} as double) as {n}" for n in names)
+    return ", ".join(map(digits, names))
 
 
 STAGED_AMOUNTS = (
@@ -135,8 +138,8 @@ def _resolve(spark, sf_dir):
 
 @query(
     "account_rollup",
-    """select strftime(fecha_comprobante, '%Y-%m') as year_month, codigo_cuenta_resuelta,
-      count(*) as n_lines, cast(sum(precio_total_articulo) as double) as sale_price
+    f"""select strftime(fecha_comprobante, '%Y-%m') as year_month, codigo_cuenta_resuelta,
+      count(*) as n_lines, {digits('sum(precio_total_articulo)', 'sale_price')}
     from accounts group by 1, 2""",
 )
 def _account_rollup(spark, sf_dir):
@@ -163,8 +166,8 @@ def _attach(spark, sf_dir):
 
 @query(
     "discount_regex",
-    """select codigo_cliente, barrio, discount_text,
-      cast(try_cast(discount_text as decimal(9,4)) as double) as pct from discounts""",
+    f"""select codigo_cliente, barrio, discount_text,
+      {digits('try_cast(discount_text as decimal(20,10))', 'pct')} from discounts""",
 )
 def _discount(spark, sf_dir):
     text = discount_text("barrio", fx.RULES.gm_discount_pattern)
@@ -200,9 +203,7 @@ def _brand(spark, sf_dir):
 
 @query(
     "latest_price",
-    """select codigo_articulo, fecha_modificacion,
-      cast(precio_actual_proveedor as double) as precio_actual_proveedor,
-      cast(precio_cambio as double) as precio_cambio
+    f"""select codigo_articulo, fecha_modificacion, {digits('precio_actual_proveedor')}, {digits('precio_cambio')}
     from stg_prices
     qualify row_number() over (partition by codigo_articulo
       order by fecha_modificacion desc, precio_actual_proveedor, precio_cambio) = 1""",
@@ -235,16 +236,16 @@ def _asof(kind, direction="forward", inclusive=True):
 
 def _asof_sql(condition):
     return f"""select v.fuente, v.numero_comprobante, v.codigo_articulo, v.fecha_comprobante,
-      cast(i.precio_cambio as double) as precio_cambio, i.fecha_modificacion as matched_ts
+      {digits('i.precio_cambio', 'precio_cambio')}, i.fecha_modificacion as matched_ts
     from stg_sales v asof left join instants i
       on i.codigo_articulo = v.codigo_articulo and i.fecha_modificacion {condition} v.fecha_comprobante"""
 
 
 query("asof_window", _asof_sql(">="))(_asof(asof_join))
-query("asof_array", _asof_sql(">="))(_asof(asof_join_small))
+query("asof_array", _asof_sql(">="))(_asof(asof_join_arrays))
 query("asof_window_strict", _asof_sql(">"))(_asof(asof_join, inclusive=False))
 query("asof_backward", _asof_sql("<="))(_asof(asof_join, "backward"))
-query("asof_backward_array", _asof_sql("<="))(_asof(asof_join_small, "backward"))
+query("asof_backward_array", _asof_sql("<="))(_asof(asof_join_arrays, "backward"))
 
 
 _PRICE_SQL = f"""select * replace ({_amounts(*STAGED_AMOUNTS, 'gm_descuento_pct',
@@ -261,13 +262,23 @@ def _price(spark, sf_dir):
     return price_at_sale(_attach(spark, sf_dir), _history(spark, sf_dir))
 
 
+@query("price_at_sale_bucketed", _PRICE_SQL.replace("* replace", f"* exclude ({', '.join(_ARTICLE_COLUMNS)}) replace"))
+def _price_bucketed(spark, sf_dir):
+    """The change log stored in buckets of the article, which neither the as-of join nor the current price moves."""
+    path = scratch_dir(spark, "price_log")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{path}'")
+    write_bucketed(_history(spark, sf_dir), f"{name}.price_log", ["codigo_articulo"], 8, ["fecha_modificacion"])
+    return price_at_sale(_attach(spark, sf_dir), spark.table(f"{name}.price_log"), parts=8)
+
+
 # --- pricing rules -------------------------------------------------------------------------
 
 _LINE = ("fuente", "numero_comprobante", "codigo_articulo", "codigo_deposito_articulo")
 
 
 def _fine(*names):
-    return ", ".join(f"cast(cast({n} as decimal(38,6)) as double) as {n}" for n in names)
+    return ", ".join(map(digits, names))
 
 
 @query(
@@ -284,7 +295,7 @@ def _final(spark, sf_dir):
 @query(
     "discount_amount",
     f"""select fuente, count(*) as n_lines, count(gm_descuento_monto) as n_known,
-      {_fine('sum(gm_descuento_monto)').replace('as sum(gm_descuento_monto)', 'as gm_descuento_monto')}
+      {digits('sum(gm_descuento_monto)', 'gm_descuento_monto')}
     from calculated where es_venta_gm group by 1""",
 )
 def _discount_amount(spark, sf_dir):

@@ -6,6 +6,15 @@ from tallysheet.config import VOUCHER_TYPES
 from tallysheet.queries.fixtures import EXCLUDED, SOURCE_SQL
 
 
+# Fraction digits that decimals are shown with.
+FRACTION = 12
+
+
+def digits(expression: str, name: str | None = None) -> str:
+    """A decimal as text with all its digits."""
+    return f"cast(cast({expression} as decimal(38,{FRACTION})) as varchar) as {name or expression}"
+
+
 def quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -46,13 +55,13 @@ from src_bridge p left join src_brands b on b.marca_id = p.marca_id
 select tipo_comprobante, cast(numero_comprobante as bigint) as numero_comprobante,
   cast(nro_punto_venta as int) as nro_punto_venta, db as fuente, tipo_consumo, fecha_comprobante,
   codigo_cliente, razon_social_cliente,
-  cast(descuento_comprobante as decimal(18,4)) as descuento_comprobante,
+  cast(descuento_comprobante as decimal(22,8)) as descuento_comprobante,
   codigo_articulo, codigo_particular_articulo, descripcion_articulo,
-  cast(cantidad_articulo as decimal(18,4)) as cantidad_articulo,
-  cast(precio_unitario_articulo as decimal(18,4)) as precio_unitario_articulo,
-  cast(precio_total_articulo as decimal(18,4)) as precio_total_articulo,
-  cast(costo_venta_articulo as decimal(18,4)) as costo_venta_articulo,
-  cast(descuento_articulo as decimal(18,4)) as descuento_articulo,
+  cast(cantidad_articulo as decimal(22,8)) as cantidad_articulo,
+  cast(precio_unitario_articulo as decimal(22,8)) as precio_unitario_articulo,
+  cast(precio_total_articulo as decimal(22,8)) as precio_total_articulo,
+  cast(costo_venta_articulo as decimal(22,8)) as costo_venta_articulo,
+  cast(descuento_articulo as decimal(22,8)) as descuento_articulo,
   codigo_deposito_articulo
 from raw_sales""",
     "stg_clients": """
@@ -74,8 +83,8 @@ select codigo_marca_int as codigo_marca, marca_id, trim(marca) as marca, linea_i
 from raw_marcas_lineas""",
     "stg_prices": """
 select codigoarticulo as codigo_articulo,
-  cast(precioactual as decimal(18,4)) as precio_actual_proveedor,
-  fechamodificacion as fecha_modificacion, cast(precio as decimal(18,4)) as precio_cambio
+  cast(precioactual as decimal(22,8)) as precio_actual_proveedor,
+  fechamodificacion as fecha_modificacion, cast(precio as decimal(22,8)) as precio_cambio
 from raw_prices""",
     "accounts": """
 select v.*, c.cuenta_principal_codigo,
@@ -90,7 +99,7 @@ from stg_clients""",
 select v.*, c.razon_social as razon_social_cuenta, c.barrio as barrio_cliente,
   c.codigo_vendedor as codigo_vendedor_cliente, c.codigo_zona as codigo_zona_cliente,
   c.codigo_particular as codigo_particular_cliente, c.es_gm as cliente_es_gm, s.nombre_vendedor,
-  try_cast(c.discount_text as decimal(9,4)) as gm_descuento_pct,
+  try_cast(c.discount_text as decimal(20,10)) as gm_descuento_pct,
   v.tipo_comprobante = 'RE' and v.nro_punto_venta in (17, 18, 19, 109)
     and c.discount_text is not null as es_venta_gm
 from accounts v join discounts c on c.codigo_cliente = v.codigo_cuenta_resuelta
@@ -130,14 +139,14 @@ from enriched v
   left join current_prices p using (codigo_articulo)""",
     "rated": """
 select *, es_venta_gm and not es_cuenta_secundaria and gm_descuento_pct is not null as is_rated,
-  cast(precio_proveedor_vigente as decimal(28,4)) * cast(cantidad_articulo as decimal(9,2)) as list_value
+  cast(precio_proveedor_vigente as decimal(19,8)) * cast(cantidad_articulo as decimal(17,8)) as list_value
 from prices""",
     "calculated": """
 select *,
   case when is_rated and list_value is not null
-       then list_value * cast((100 - gm_descuento_pct) * 0.01 as decimal(10,6))
+       then cast(list_value * cast((100 - gm_descuento_pct) * 0.01 as decimal(16,12)) as decimal(38,12))
        when es_cuenta_secundaria then 0 else precio_total_articulo end as precio_final,
-  case when is_rated then list_value * cast(gm_descuento_pct * 0.01 as decimal(10,6)) else 0 end
+  case when is_rated then cast(list_value * cast(gm_descuento_pct * 0.01 as decimal(16,12)) as decimal(38,12)) else 0 end
     as gm_descuento_monto,
   case when is_rated and list_value is not null then 'GM_DESCONTADO'
        when es_cuenta_secundaria then 'SECUNDARIA_CERO' else 'PRECIO_ESTANDAR' end as metodo_precio
@@ -161,7 +170,7 @@ select calculated.*,
   if(not es_venta_gm and tipo_consumo = 'PPAL', precio_final, 0) as ppal_monto
 from calculated left join branches b on b.point_of_sale = nro_punto_venta
   and (b.deposit is null or b.deposit = codigo_deposito_articulo)""",
-    "fact": """
+    "fact": f"""
 select tipo_comprobante as voucher_type, numero_comprobante as voucher_number, fuente as source,
   nro_punto_venta as point_of_sale, codigo_deposito_articulo as deposit_code, sucursal as branch,
   tipo_consumo as consumption_type, fecha_comprobante as invoice_datetime,
@@ -175,16 +184,12 @@ select tipo_comprobante as voucher_type, numero_comprobante as voucher_number, f
   descripcion_super_rubro as rubro_description,
   cast(unidades_min_rubro as double) as min_units_rubro, codigo_marca_int as brand_code,
   marca_id as brand_id, marca as brand_name, linea_id as line_id, linea as line_name,
-  cast(cantidad_articulo as double) as quantity, cast(precio_total_articulo as double) as sale_price,
-  cast(costo_venta_articulo as double) as provider_price,
-  cast(precio_proveedor_vigente as double) as provider_price_at_sale,
-  cast(cast(precio_final as decimal(38,6)) as double) as final_price,
-  es_venta_gm as is_gm_sale, cast(gm_descuento_pct as double) as gm_discount_pct,
-  cast(cast(gm_descuento_monto as decimal(38,6)) as double) as gm_discount_amount,
-  cast(gm_cantidad as double) as gm_quantity, cast(cast(gm_monto as decimal(38,6)) as double) as gm_amount,
-  cast(ds_cantidad as double) as ds_quantity, cast(cast(ds_monto as decimal(38,6)) as double) as ds_amount,
-  cast(ppal_cantidad as double) as ppal_quantity,
-  cast(cast(ppal_monto as decimal(38,6)) as double) as ppal_amount,
+  {digits('cantidad_articulo', 'quantity')}, {digits('precio_total_articulo', 'sale_price')},
+  {digits('costo_venta_articulo', 'provider_price')}, {digits('precio_proveedor_vigente', 'provider_price_at_sale')},
+  {digits('precio_final', 'final_price')}, es_venta_gm as is_gm_sale, {digits('gm_descuento_pct', 'gm_discount_pct')},
+  {digits('gm_descuento_monto', 'gm_discount_amount')}, {digits('gm_cantidad', 'gm_quantity')}, {digits('gm_monto', 'gm_amount')},
+  {digits('ds_cantidad', 'ds_quantity')}, {digits('ds_monto', 'ds_amount')},
+  {digits('ppal_cantidad', 'ppal_quantity')}, {digits('ppal_monto', 'ppal_amount')},
   es_articulo_valido as is_valid_article,
   case metodo_precio when 'GM_DESCONTADO' then 'GM_DISCOUNTED'
     when 'SECUNDARIA_CERO' then 'SECONDARY_ZEROED' else 'STANDARD_PRICE' end as price_method
@@ -192,8 +197,9 @@ from breakdown""",
 }
 
 
-def oracle(select: str) -> str:
-    """The final select with every source table and model available as a subquery."""
-    ctes = ",\n".join(f"{name} as ({text})" for name, text in (SOURCE_SQL | MODELS).items())
+def oracle(select: str, changed: dict[str, str] | None = None) -> str:
+    """The final select with every source table and model available as a subquery; ``changed`` states some of
+    them otherwise."""
+    ctes = ",\n".join(f"{name} as ({text})" for name, text in (SOURCE_SQL | MODELS | (changed or {})).items())
     own = select.lstrip()
     return f"with {ctes},\n{own[5:]}" if own.startswith("with ") else f"with {ctes}\n{own}"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
-from tallysheet.queries.oracle import oracle
+from tallysheet.queries.oracle import FRACTION, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,29 +17,32 @@ _ORACLES: dict[str, str] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, so that both engines hand out the same type. Products are cut to six
-    fraction digits first: beyond that the digits no longer fit a double exactly."""
+    """Decimals as text with all their digits, so that both engines hand out the same. No value of the
+    library has more than twelve fraction digits."""
 
     def shown(name: str, dtype: DataType) -> Column:
         c = F.col(name)
         if not isinstance(dtype, DecimalType):
             return c
-        if dtype.scale > 6:
-            c = c.cast("decimal(38,6)")
-        return c.cast("double").alias(name)
+        # Whole and fraction apart: without ANSI mode small decimals are written with an exponent.
+        whole = F.floor(F.abs(c))
+        fraction = ((F.abs(c) - whole) * F.lit(10**FRACTION).cast("decimal(13,0)")).cast("decimal(38,0)").cast("string")
+        text = F.concat(F.when(c < 0, "-").otherwise(""), whole.cast("string"), F.lit("."), F.lpad(fraction, FRACTION, "0"))
+        return text.alias(name)
 
     return df.select([shown(f.name, f.dataType) for f in df.schema.fields])
 
 
-def query(name: str, sql: str | None) -> Callable[[Query], Query]:
-    """Register a query; ``sql`` is its counterpart over the oracle models, None if there is none."""
+def query(name: str, sql: str | None, changed: dict[str, str] | None = None) -> Callable[[Query], Query]:
+    """Register a query; ``sql`` is its counterpart over the oracle models, None if there is none. ``changed``
+    states some of the models otherwise."""
 
     def register(fn: Query) -> Query:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
         _QUERIES[name] = lambda spark, sf_dir: present(fn(spark, sf_dir))
         if sql is not None:
-            _ORACLES[name] = oracle(sql)
+            _ORACLES[name] = oracle(sql, changed)
         return fn
 
     return register

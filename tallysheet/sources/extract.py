@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallysheet.config import DEFAULT_RULES, Rules, SalesSource
 from tallysheet.functions import compose_timestamp, in_window
+from tallysheet.operators.keyfilter import may_match
 from tallysheet.operators.lookup import lookup
 from tallysheet.schemas import RAW_PRICE_HISTORY, RAW_SALES, conform
 
@@ -66,6 +67,9 @@ def extract_sales(
     if window is not None:
         heads = heads.where(window.covers_day("fechacomprobante") & window.covers("fecha_comprobante"))
     lines = body.where(~F.col("codigoarticulo").isin(*rules.excluded_articles))
+    if window is not None:
+        # Bodies carry no date: most lines of other windows go before the shuffle.
+        lines = may_match(lines, heads, keys, range_of=VOUCHER_KEY[1], words=rules.key_filter_words)
     joined = heads.join(lines, list(keys), "inner")
     return conform(
         joined.select(

@@ -1,7 +1,8 @@
-"""JDBC scans. Spark splits a scan into at most as many connections as the source tolerates."""
+"""JDBC scans. A scan is cut into at most as many connections as the source tolerates."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,16 +23,6 @@ class JdbcSource:
     fetch_size: int = 10_000
 
 
-@dataclass(frozen=True)
-class Split:
-    """How to cut a scan into ranges of one numeric, date or timestamp column."""
-
-    column: str
-    lower: str
-    upper: str
-    parts: int
-
-
 def mysql(host: str, database: str, user: str, password: str, port: int = 3306) -> JdbcSource:
     url = f"jdbc:mysql://{host}:{port}/{database}?useCursorFetch=true"
     return JdbcSource(url, "com.mysql.cj.jdbc.Driver", user, password, max_connections=3)
@@ -42,33 +33,36 @@ def firebird(host: str, database: str, user: str, password: str, port: int = 305
     return JdbcSource(url, "org.firebirdsql.jdbc.FBDriver", user, password, max_connections=1)
 
 
-def jdbc_options(source: JdbcSource, query: str, split: Split | None = None) -> dict[str, str]:
-    """Reader options. ``query`` is a table name or a SELECT; a SELECT becomes a derived table."""
+def as_table(query: str) -> str:
+    """A table name, or a SELECT as a derived table."""
     text = query.strip().rstrip(";")
-    table = f"({text}) q" if text[:6].lower() == "select" else text
-    options = {
+    return f"({text}) q" if text[:6].lower() == "select" else text
+
+
+def jdbc_options(source: JdbcSource, query: str) -> dict[str, str]:
+    """Reader options of a scan in one task."""
+    return {
         "url": source.url,
         "driver": source.driver,
         "user": source.user,
         "password": source.password,
-        "dbtable": table,
+        "dbtable": as_table(query),
         "fetchsize": str(source.fetch_size),
         "preferTimestampNTZ": "true",
+        "numPartitions": "1",
     }
-    parts = min(split.parts, source.max_connections) if split else 1
-    if parts > 1:
-        options |= {
-            "partitionColumn": split.column,
-            "lowerBound": split.lower,
-            "upperBound": split.upper,
-        }
-    return options | {"numPartitions": str(parts)}
-
-
-def read_jdbc(
-    spark: SparkSession, source: JdbcSource, query: str, split: Split | None = None
-) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(source, query, split)).load()
+
+
+def read_jdbc(spark: SparkSession, source: JdbcSource, query: str, parts: Sequence[str] = ()) -> DataFrame:
+    """A table or a SELECT. ``parts`` are conditions that cut it, a task and a connection each; there
+    may be no more than the source tolerates."""
+    if len(parts) > source.max_connections:
+        raise ValueError(f"{len(parts)} parts for {source.max_connections} connections")
+    options = jdbc_options(source, query)
+    if len(parts) < 2:
+        return spark.read.format("jdbc").options(**options).load()
+    kept = {k: v for k, v in options.items() if k not in ("url", "dbtable", "numPartitions")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=list(parts), properties=kept)
 
 
 def _listed(values: tuple[str, ...]) -> str:

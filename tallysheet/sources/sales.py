@@ -8,25 +8,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallysheet.config import DEFAULT_RULES, Rules, SalesSource
 from tallysheet.sources.extract import Window, extract_sales, lower_columns, union_sources
-from tallysheet.sources.jdbc import JdbcSource, Split, body_query, header_query, read_jdbc
+from tallysheet.sources.jdbc import JdbcSource, body_query, header_query, read_jdbc
+from tallysheet.sources.landing import equi_depth, land, predicates
+
+# Fixed value: the column that numbers vouchers, in headers and bodies.
+VOUCHER_NUMBER = "NUMEROCOMPROBANTE"
 
 # Gives the header and body DataFrames of one source.
 VoucherReader = Callable[[SalesSource, Window | None], tuple[DataFrame, DataFrame]]
 
 
 def jdbc_reader(
-    spark: SparkSession, db: JdbcSource, rules: Rules = DEFAULT_RULES, split: Split | None = None
+    spark: SparkSession, db: JdbcSource, rules: Rules = DEFAULT_RULES, split_by: str | None = VOUCHER_NUMBER
 ) -> VoucherReader:
-    """Vouchers of a database. ``split`` cuts both scans by a numeric column that header and body
-    share, the voucher number say, into as many connections as the source tolerates; without it each
-    scan is one connection and one task."""
+    """Vouchers of a database, landed within its connections: header and body take turns, and each is
+    cut into as many parts as there are connections. ``split_by`` is a numeric column that both have; the
+    parts have equally many headers. Without it, or with one connection, a scan is one task."""
 
     def read(source: SalesSource, window: Window | None) -> tuple[DataFrame, DataFrame]:
         if window is None:
             heads, lines = source.header, source.body
         else:
             heads, lines = header_query(source, window, rules), body_query(source, window, rules)
-        return read_jdbc(spark, db, heads, split), read_jdbc(spark, db, lines, split)
+        parts: list[str] = []
+
+        def headers() -> DataFrame:
+            if split_by:
+                asked = lambda text: read_jdbc(spark, db, text)
+                parts.extend(predicates(split_by, equi_depth(asked, heads, split_by, db.max_connections)))
+            return read_jdbc(spark, db, heads, parts)
+
+        header = land(spark, db, headers, "header")
+        return header, land(spark, db, lambda: read_jdbc(spark, db, lines, parts), "body")
 
     return read
 

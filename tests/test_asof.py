@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallysheet.operators.asof import asof_join, asof_join_small
+from tallysheet.operators.asof import asof_join, asof_join_arrays
 from tallysheet.operators.prices import price_at_sale
 from tests.conftest import rows
 
@@ -52,7 +52,7 @@ def random_case(seed):
     return left, right
 
 
-@pytest.mark.parametrize("join", [asof_join, asof_join_small])
+@pytest.mark.parametrize("join", [asof_join, asof_join_arrays])
 @pytest.mark.parametrize("direction", ["forward", "backward"])
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_against_brute_force(spark, join, direction, inclusive):
@@ -82,14 +82,22 @@ def test_copies_of_a_row_are_all_kept(spark):
     assert got.where("p = 7").count() == 50
 
 
-def test_small_form_falls_back_when_the_history_is_not_small(spark):
+def test_arrays_of_any_history_and_their_bound(spark):
+    """Slices of any width give the same; a slice with more instants than allowed stops the job."""
     left, right = random_case(4)
     frames = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
-    plain = rows(asof_join_small(*frames, ["k"], "t", "ts", ["p"]))
-    for limits in ({"max_rows": 3}, {"max_per_key": 1}):
-        bounded = asof_join_small(*frames, ["k"], "t", "ts", ["p"], **limits)
-        assert "Window" in bounded._jdf.queryExecution().optimizedPlan().toString()
-        assert rows(bounded) == plain
+    expected = rows(asof_join(*frames, ["k"], "t", "ts", ["p"]))
+    for slice_of in (F.to_date, lambda t: F.trunc(F.to_date(t), "year"), lambda t: F.date_trunc("hour", t)):
+        assert rows(asof_join_arrays(*frames, ["k"], "t", "ts", ["p"], slice_of=slice_of)) == expected
+    with pytest.raises(Exception, match="right rows in one slice"):
+        asof_join_arrays(*frames, ["k"], "t", "ts", ["p"], slice_of=lambda t: F.trunc(F.to_date(t), "year"), longest=1).collect()
+
+
+def test_arrays_run_no_job_while_the_plan_is_built(spark):
+    failing = spark.createDataFrame([("a", T0, 1.0)], RIGHT).where(F.raise_error(F.lit("ran")).cast("boolean"))
+    left = spark.createDataFrame([(1, "a", T0)], LEFT)
+    for join in (asof_join, asof_join_arrays):
+        join(left, failing, ["k"], "t", "ts", ["p"])
 
 
 def test_unknown_direction(spark):
@@ -117,8 +125,8 @@ def priced(spark, sales, history, **options):
     }
 
 
-@pytest.mark.parametrize("small_history", [False, True])
-def test_price_cases(spark, small_history):
+@pytest.mark.parametrize("arrays", [False, True])
+def test_price_cases(spark, arrays):
     history = [
         ("early", 9, day(1), 5),
         ("exact", 9, day(10), 6), ("exact", 9, day(11), 7),
@@ -160,7 +168,7 @@ def test_price_cases(spark, small_history):
         12: (None, None, False),
         13: (Decimal(9), None, True),
     }
-    assert priced(spark, sales, history, small_history=small_history) == expected
+    assert priced(spark, sales, history, arrays=arrays) == expected
 
 
 def test_backward_price(spark):

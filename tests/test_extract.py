@@ -15,14 +15,14 @@ from tallysheet.sources.extract import (
     lower_columns,
 )
 from tallysheet.sources.jdbc import (
-    Split,
     body_query,
     firebird,
     header_query,
     jdbc_options,
     mysql,
+    read_jdbc,
 )
-from tallysheet.sources.sales import jdbc_reader, read_all_sales, table_reader
+from tallysheet.sources.sales import read_all_sales, table_reader
 from tests.conftest import rows
 
 HEADER = (
@@ -128,17 +128,14 @@ def test_dimensions(spark):
     assert rows(extract_sellers(sellers)) == [("1", "Ana")]
 
 
-def test_jdbc_options_respect_connection_limits():
+def test_jdbc_options_respect_connection_limits(spark):
     db = mysql("db.example", "sales", "u", "secret")
-    split = Split("NUMEROCOMPROBANTE", "0", "1000", parts=8)
-    options = jdbc_options(db, "SELECT 1;", split)
-    assert options["dbtable"] == "(SELECT 1) q"
-    assert options["numPartitions"] == "3"
-    assert options["partitionColumn"] == "NUMEROCOMPROBANTE"
+    options = jdbc_options(db, "SELECT 1;")
+    assert options["dbtable"] == "(SELECT 1) q" and options["numPartitions"] == "1"
     assert "secret" not in repr(db)
-    single = jdbc_options(firebird("h", "/p.fdb", "u", "s"), "ARTICULOS", split)
-    assert single["dbtable"] == "ARTICULOS"
-    assert single["numPartitions"] == "1" and "partitionColumn" not in single
+    assert jdbc_options(firebird("h", "/p.fdb", "u", "s"), "ARTICULOS")["dbtable"] == "ARTICULOS"
+    with pytest.raises(ValueError, match="4 parts for 3"):
+        read_jdbc(spark, db, "T", ["a", "b", "c", "d"])
 
 
 def test_source_queries_narrow_by_date_and_quote():
@@ -173,8 +170,8 @@ def test_feeds_read_their_tables(spark, monkeypatch):
         ),
     }
 
-    def fake(spark, db, query, split=None):
-        asked.append((query, split))
+    def fake(spark, db, query, parts=()):
+        asked.append((query, parts))
         return spark.createDataFrame(*stored[query])
 
     monkeypatch.setattr("tallysheet.plans.feeds.read_jdbc", fake)
@@ -188,15 +185,6 @@ def test_feeds_read_their_tables(spark, monkeypatch):
     assert {q for q, _ in asked} == set(stored)
 
 
-def test_voucher_scans_are_split(spark, monkeypatch):
-    asked = []
-    monkeypatch.setattr("tallysheet.sources.sales.read_jdbc", lambda spark, db, query, split=None: asked.append((query, split)))
-    split = Split("NUMEROCOMPROBANTE", "0", "1000", 3)
-    source = SALES_SOURCES[0]
-    jdbc_reader(spark, mysql("h", "d", "u", "p"), split=split)(source, None)
-    assert asked == [(source.header, split), (source.body, split)]
-
-
 def test_last_day_of_a_window_counts_to_its_end(spark):
     df = spark.createDataFrame([(datetime(2024, 3, 31, 10),), (datetime(2024, 4, 1),)], "day timestamp_ntz")
     window = Window("2024-03-01 00:00:00", "2024-03-31 14:30:00")

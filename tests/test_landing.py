@@ -1,0 +1,142 @@
+"""Scans within a connection budget. The database is Spark itself, or frames that note when their tasks run."""
+
+from __future__ import annotations
+
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallysheet.config import DEFAULT_RULES, SALES_SOURCES
+from tallysheet.plans.feeds import jdbc_feeds
+from tallysheet.sources import landing
+from tallysheet.sources.extract import Window
+from tallysheet.sources.jdbc import firebird, mysql
+from tallysheet.sources.landing import cut_points, equi_depth, land, predicates
+from tests.conftest import rows
+from tests.test_extract import BODY, HEADER, head, line
+
+WINDOW = Window("2024-01-01 00:00:00", "2024-02-01 00:00:00")
+
+
+def noted(df, folder):
+    """``df`` whose every task notes when it began and ended, one file each."""
+
+    def watch(batches):
+        began = time.time()
+        yield from batches
+        time.sleep(0.05)
+        with open(os.path.join(folder, f"{time.time_ns()}-{os.getpid()}"), "w") as f:
+            f.write(f"{began} {time.time()}")
+
+    return df.mapInArrow(watch, df.schema)
+
+
+def most_at_once(folder):
+    spans = [tuple(map(float, open(os.path.join(folder, f)).read().split())) for f in os.listdir(folder)]
+    return max(sum(b <= at < e for b, e in spans) for at, _ in spans), len(spans)
+
+
+def test_cut_points_have_equally_many_rows():
+    # Nine tenths of the rows are in one corner: stretches of equal width would be 97, 1 and 2 rows.
+    histogram = [(0, 30), (1, 30), (2, 30), (50, 5), (99, 5)]
+    assert cut_points(histogram, 1000, 10, 3) == [1020, 1030]
+    assert cut_points(histogram, 1000, 10, 1) == []
+    assert cut_points([(0, 100)], 0, 10, 3) == []
+    assert cut_points([(0, 1), (1, 98), (2, 1)], 0, 10, 3) == [20]
+    assert cut_points([], 0, 1, 3) == []
+
+
+def test_parts_hold_every_row_once(spark):
+    values = [None, -3.0, 0.0, 7.5, 7.5, 1e6] + [float(i % 40) for i in range(300)]
+    spark.createDataFrame([(v,) for v in values], "n double").createOrReplaceTempView("landing_numbers")
+    points = equi_depth(spark.sql, "SELECT * FROM landing_numbers", "n", 3, buckets=1_000_000)
+    parts = [spark.table("landing_numbers").where(p).count() for p in predicates("n", points)]
+    assert len(parts) == 3 and sum(parts) == len(values) and max(parts) <= 130
+    assert predicates("n", []) == ["1 = 1"]
+    assert equi_depth(spark.sql, "SELECT * FROM landing_numbers WHERE n IS NULL", "n", 3) == []
+
+
+@pytest.mark.parametrize(("db", "limit"), [(mysql("h", "d", "u", "p"), 3), (firebird("h", "/p", "u", "p"), 1)])
+def test_scans_of_a_database_take_turns(spark, tmp_path, db, limit):
+    """Eight scans of eight partitions, asked for by eight threads."""
+    df = noted(spark.range(0, 800, 1, 8), str(tmp_path))
+    with ThreadPoolExecutor(8) as pool:
+        jobs = [pool.submit(land, spark, db, lambda: df, f"scan{i}") for i in range(8)]
+        assert [j.result().count() for j in jobs] == [800] * 8
+    # A task reads several partitions, one after the other.
+    assert most_at_once(tmp_path) == (limit, 64)
+
+
+def test_all_sales_feeds_stay_within_the_budget(spark, tmp_path, monkeypatch):
+    """Header and body of four sources, loaded by four threads: never more than three scan tasks."""
+    asked = []
+
+    def fake(spark, db, query, parts=()):
+        asked.append((query, tuple(parts)))
+        if " AS low" in query or " AS bucket" in query:
+            return spark.sql(query.replace(header_text(query), "landing_heads"))
+        rows_of = spark.createDataFrame([line(n, "A") for n in range(60)], BODY) if "b.*" in query else spark.table("landing_heads")
+        return noted(rows_of.repartition(max(1, len(parts))), str(tmp_path))
+
+    def header_text(query):
+        return query[query.index("FROM (") + 5 : query.index(") q") + 3]
+
+    spark.createDataFrame([head(n) for n in range(60)], HEADER).createOrReplaceTempView("landing_heads")
+    monkeypatch.setattr("tallysheet.sources.sales.read_jdbc", fake)
+    feeds = jdbc_feeds(spark, mysql("h", "d", "u", "p"), firebird("h", "/p", "u", "p"), "", "")
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda s: feeds.sales(s.db, WINDOW).count(), SALES_SOURCES))
+    assert found == [60] * 4
+    assert most_at_once(tmp_path)[0] <= 3
+    cut = {parts for query, parts in asked if parts}
+    assert cut == {("NUMEROCOMPROBANTE < 20 OR NUMEROCOMPROBANTE IS NULL", "NUMEROCOMPROBANTE >= 20 AND NUMEROCOMPROBANTE < 40", "NUMEROCOMPROBANTE >= 40")}
+
+
+def test_price_feed_lands_three_scans_one_by_one_and_narrowed(spark, tmp_path, monkeypatch):
+    when = datetime(2024, 1, 5, 10)
+    stored = {
+        "ARTICULOS": ([("a", 1, "x"), ("b", 0, "x")], "CODIGOARTICULO string, ACTIVO int, OTHER string"),
+        "ARTICULOSPROVEEDOR": ([("p", "a", 9.0), ("q", "b", 8.0)], "CODIGO string, CODIGOARTICULO string, PRECIO double"),
+        "CAMBIOSDEPRECIOPROVEEDOR": ([("p", when, 7.0), ("p", datetime(2024, 2, 1), 5.0)], "CODIGOARTICULOPROVEEDOR string, FECHAMODIFICACION timestamp_ntz, PRECIO double"),
+    }
+    landed = []
+
+    def spy(spark, db, scan, purpose):
+        landed.append((purpose, found := land(spark, db, scan, purpose)))
+        return found
+
+    monkeypatch.setattr("tallysheet.plans.feeds.land", spy)
+    monkeypatch.setattr("tallysheet.plans.feeds.read_jdbc", lambda spark, db, query, parts=(): noted(spark.createDataFrame(*stored[query]).repartition(4), str(tmp_path)))
+    feeds = jdbc_feeds(spark, mysql("h", "d", "u", "p"), firebird("h", "/p", "u", "p"), "", "")
+    assert rows(feeds.prices(WINDOW)) == [("a", 9.0, when, 7.0)]
+    assert {p: (df.columns, df.count()) for p, df in landed} == {
+        "articulos": (["codigoarticulo", "activo"], 1),
+        "articulosproveedor": (["codigo", "codigoarticulo", "precio"], 2),
+        "cambiosdeprecioproveedor": (["codigoarticuloproveedor", "fechamodificacion", "precio"], 1),
+    }
+    assert most_at_once(tmp_path)[0] == 1
+
+
+def test_speculation_is_refused(spark, monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return "true" if key == "spark.speculation" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="speculative"):
+        land(Session(), mysql("h", "d", "u", "p"), lambda: None, "x")
+
+
+def test_a_failed_scan_gives_its_turn_away(spark):
+    db = replace(mysql("h", "failing", "u", "p"), max_connections=1)
+    with pytest.raises(Exception, match="lost"):
+        land(spark, db, lambda: spark.range(3).select(F.raise_error(F.lit("lost")).alias("a")), "bad")
+    assert land(spark, db, lambda: spark.range(3), "good").count() == 3
+    assert not landing._turn(db).locked() and DEFAULT_RULES

@@ -10,7 +10,7 @@ from tallysheet.operators.prices import price_at_sale
 from tallysheet.plans.fact import build_fact, register_models
 from tallysheet.queries import fixtures as fx
 from tallysheet.scratch import scratch_dir
-from tallysheet.sinks.tables import write_mart
+from tallysheet.sinks.tables import write_bucketed, write_mart
 from tallysheet.sources.extract import Window, extract_sales
 
 SF = "/root/testdata/sf0.001"
@@ -166,3 +166,30 @@ def test_adaptive_execution_splits_a_hot_partition_on_write(spark, small_partiti
     assert months.count("2024-01") > 4
     assert sum(r["count"] for r in files) == 200_000
     assert max(r["count"] for r in files) < 60_000
+
+
+def test_a_bucketed_history_is_not_moved(spark, small_partitions):
+    """Between the scan of the history and the union with the sales there is no exchange."""
+    path = scratch_dir(spark, "log")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{path}'")
+    s = fx.staged_tables(spark, SF)
+    for _ in range(3):
+        write_bucketed(s.price_history, f"{name}.price_log", ["codigo_articulo"], 8, ["fecha_modificacion"])
+    assert spark.sql(f"SHOW TABLES IN {name} LIKE 'price_log__*'").count() == 2
+    log = spark.table(f"{name}.price_log")
+    bucketed, plain = price_at_sale(s.sales, log, parts=8), price_at_sale(s.sales, s.price_history)
+    lines = plan_of(bucketed).split("\n")
+    scans = [i for i, text in enumerate(lines) if "price_log__" in text and "Scan" in text]
+    assert len(scans) >= 2
+    for at in scans:
+        depth = lambda text: len(text) - len(text.lstrip(" :+-"))
+        above, level = [], depth(lines[at])
+        for text in reversed(lines[:at]):
+            if depth(text) < level:
+                above.append(text)
+                level = depth(text)
+        # Upwards: aggregates and sorts of the history alone, until it meets the sales.
+        meeting = next(i for i, text in enumerate(above) if "Union" in text or "Join" in text)
+        assert not any("Exchange" in text for text in above[: meeting]) and "Bucketed: true" in lines[at] + "".join(lines)
+    assert bucketed.exceptAll(plain).count() == 0 == plain.exceptAll(bucketed).count()

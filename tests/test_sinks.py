@@ -1,6 +1,7 @@
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from decimal import Decimal
+from threading import Event
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from tallysheet.quality.checks import CheckFailed
 from tallysheet.queries import fixtures as fx
 from tallysheet.schemas import RAW_SALES, conform
 from tallysheet.scratch import scratch_dir
+from tallysheet.sinks import versions
 from tallysheet.sinks.audit import audit_rows, month_complete
 from tallysheet.sinks.tables import (
     remove_replaced,
@@ -33,6 +35,7 @@ from tallysheet.sinks.tables import (
     replace_table,
     write_mart,
 )
+from tallysheet.sinks.versions import ConcurrentReplace
 from tallysheet.sources.tables import Catalog, init_catalog, raw
 from tests.conftest import rows
 
@@ -243,6 +246,101 @@ def test_parallel_loads_leave_other_months_alone(spark, catalog):
     assert stored == sorted(expected)
 
 
+def test_a_reader_sees_all_months_of_a_backfill_or_none(spark, catalog):
+    """24 months are replaced again and again while a thread reads them."""
+    months = months_between("2022-01", "2023-12")
+    feed = lambda price: spark.createDataFrame(
+        [("a", 1.0, datetime(int(m[:4]), int(m[5:]), 5), price) for m in months], PRICES
+    )
+    load = lambda price: backfill(spark, catalog, "raw_price_history", lambda w: feed(price), months, "fechamodificacion")
+    load(0.0)
+    stop, seen = Event(), []
+
+    def read():
+        while not stop.is_set():
+            found = raw(spark, catalog, "raw_price_history").select("load_month", "precio").collect()
+            seen.append((len(found), {r["precio"] for r in found}))
+
+    with ThreadPoolExecutor(1) as pool:
+        reading = pool.submit(read)
+        for price in (1.0, 2.0, 3.0):
+            load(price)
+        stop.set()
+        reading.result()
+    assert len(seen) > 3
+    assert all(n == 24 and len(prices_seen) == 1 for n, prices_seen in seen), seen
+
+
+def test_a_frame_goes_on_with_the_version_it_began_with(spark, catalog):
+    name = catalog.raw("raw_price_history")
+    replace_month(prices(spark, ("a", 1, 1.0)), name, "2024-01")
+    before = spark.table(name)
+    replace_month(prices(spark, ("a", 1, 2.0)), name, "2024-01")
+    assert rows(before, "precio") == [(1.0,)] and rows(spark.table(name), "precio") == [(2.0,)]
+
+
+def test_of_two_loads_of_one_month_the_later_commit_fails(spark, catalog):
+    name = catalog.raw("raw_price_history")
+    replace_month(prices(spark, ("a", 1, 0.0), ("a", 2, 0.0)).where("month(fechamodificacion) = 1"), name, "2024-01")
+    base = versions.current(spark, name)
+    schema, by = spark.table(name).schema, ["load_month"]
+    # A load that began from the same version is overtaken by another one of the same month, ...
+    replace_month(prices(spark, ("a", 1, 1.0)), name, "2024-01")
+    with pytest.raises(ConcurrentReplace, match="2024-01"):
+        versions.replace(spark, name, base, schema, by, lambda k: k == ("2024-01",), {("2024-01",): "nowhere"})
+    assert rows(spark.table(name), "precio") == [(1.0,)]
+    # ... but one of another month goes on top of it.
+    replace_month(prices(spark, ("a", 2, 2.0)), name, "2024-02")
+    folder = versions.current(spark, name).folders["2024-02",]
+    versions.replace(spark, name, base, schema, by, lambda k: k == ("2024-03",), {("2024-03",): folder})
+    assert rows(spark.table(name), "load_month", "precio") == [("2024-01", 1.0), ("2024-02", 2.0), ("2024-03", 2.0)]
+
+
+def test_loads_of_one_month_at_the_same_time(spark, catalog):
+    """Every load commits or fails clearly, and the stored rows are those of one that committed last."""
+    name = catalog.raw("raw_price_history")
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [pool.submit(replace_month, prices(spark, ("a", 1, float(p))), name, "2024-01") for p in range(4)]
+    failed = [p for p, j in enumerate(jobs) if isinstance(j.exception(), ConcurrentReplace)]
+    done = [p for p, j in enumerate(jobs) if j.exception() is None]
+    assert sorted(failed + done) == [0, 1, 2, 3] and done
+    ((price,),) = rows(spark.table(name), "precio")
+    assert price in done
+
+
+def test_a_commit_that_was_not_published_is_completed(spark, catalog):
+    name = catalog.raw("raw_price_history")
+    replace_month(prices(spark, ("a", 1, 1.0)), name, "2024-01")
+    last = versions.current(spark, name)
+    assert versions._commit(spark, name, last.number + 1, spark.table(name).schema, ["load_month"], {})
+    assert not versions._commit(spark, name, last.number + 1, spark.table(name).schema, ["load_month"], last.folders)
+    assert rows(spark.table(name), "precio") == [(1.0,)]
+    assert versions.publish(spark, name) == last.number + 1
+    assert rows(spark.table(name), "precio") == []
+
+
+def test_plain_tables_are_not_taken_over(spark, catalog):
+    name = catalog.raw("raw_plain")
+    spark.sql(f"CREATE TABLE {name} (a int) USING parquet")
+    with pytest.raises(ValueError, match="plain table"):
+        versions.create_versioned(spark, name, RAW_SALES, ["db"])
+
+
+def test_first_load_is_computed_once(spark, catalog):
+    n = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            n.add(b.num_rows)
+            yield b
+
+    df = spark.range(10).mapInArrow(counted, "id long")
+    table = catalog.analytics("once")
+    assert replace_table(df, table) == 10 and n.value == 10
+    assert replace_table(df.where("id < 0"), catalog.analytics("none")) == 0
+    assert not spark.catalog.tableExists(catalog.analytics("none"))
+
+
 def test_rows_outside_the_scope_are_refused(spark, catalog):
     name = catalog.raw("raw_price_history")
     replace_month(prices(spark, ("a", 1, 1.0)), name, "2024-01")
@@ -256,8 +354,12 @@ def test_replaced_files_go_on_request(spark, catalog):
     name = catalog.raw("raw_price_history")
     for price in (1.0, 2.0, 3.0):
         replace_month(prices(spark, ("a", 1, price)), name, "2024-01")
-    assert len(remove_replaced(spark, name)) == 2
+    # Two folders of rows, and the lists of three versions.
+    assert len(remove_replaced(spark, name)) == 5
     assert rows(spark.table(name), "precio") == [(3.0,)]
+    assert remove_replaced(spark, name) == []
+    replace_month(prices(spark, ("a", 2, 4.0)), name, "2024-02")
+    assert rows(spark.table(name), "precio") == [(3.0,), (4.0,)]
     sellers = catalog.raw("raw_sellers")
     for who in ("Ana", "Bo"):
         replace_table(spark.createDataFrame([("1", who)], "codigovendedor string, nombre string"), sellers)
@@ -279,11 +381,37 @@ def test_failing_mart_check_keeps_the_old_rows(spark, catalog):
     assert rows(spark.table(name)) == [("2024-01", 1)] or rows(spark.table(name)) == [(1, "2024-01")]
     for n in (2, 3):
         write_mart(first.withColumn("voucher_number", F.lit(n).cast("long")), name)
+    assert [r["voucher_number"] for r in spark.table(name).collect()] == [3]
+    remove_replaced(spark, name)
     database = name.rpartition(".")[0]
-    assert spark.sql(f"SHOW TABLES IN {database} LIKE 'fct_sales__*'").count() == 2
+    assert spark.sql(f"SHOW TABLES IN {database} LIKE 'fct_sales__*'").count() == 1
     assert [r["voucher_number"] for r in spark.table(name).collect()] == [3]
 
 
+def test_some_months_of_the_mart_are_replaced(spark, catalog):
+    name = catalog.analytics("fct_sales")
+    make = lambda *items: spark.createDataFrame(list(items), "n int, year_month string, voucher_number long")
+    assert write_mart(make((1, "2024-01", 1), (1, "2024-02", 2), (1, None, 3)), name) == {"2024-01": 1, "2024-02": 1, None: 1}
+    before = versions.current(spark, name).folders
+    assert write_mart(make((2, "2024-02", 4)), name, months=["2024-02", "2024-03"], notes={"a": "it's"}) == {"2024-02": 1}
+    after = versions.current(spark, name)
+    assert {k for k in before if after.folders[k] == before[k]} == {("2024-01",), (None,)} and after.notes == {"a": "it's"}
+    assert sorted(r["voucher_number"] for r in spark.table(name).collect()) == [1, 3, 4]
+    with pytest.raises(ValueError, match="outside"):
+        write_mart(make((2, "2024-02", 4)), name, months=["2024-03"])
+    with pytest.raises(ValueError, match="other columns"):
+        write_mart(make((2, "2024-02", 4)).drop("n"), name, months=["2024-02"])
+
+
+def test_a_mart_from_an_earlier_layout_is_rebuilt(spark, catalog):
+    for kind in ("TABLE", "VIEW"):
+        name = catalog.analytics(f"old_{kind.lower()}")
+        made = "USING parquet AS SELECT 1 AS a" if kind == "TABLE" else "AS SELECT 1 AS a"
+        spark.sql(f"CREATE {kind} {name} {made}")
+        write_mart(spark.createDataFrame([("2024-01", 5)], "year_month string, n int"), name)
+        assert rows(spark.table(name), "n") == [(5,)]
+
+
 def test_incomplete_months_stop_the_mart(spark, catalog, feeds):
     refresh(spark, catalog, "full", feeds)
     for s in SALES_SOURCES[:3]:
