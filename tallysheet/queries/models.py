@@ -180,7 +180,8 @@ def _discount(spark, sf_dir):
 
 @query(
     "enrich_articles",
-    f"select * replace ({_amounts(*STAGED_AMOUNTS, 'gm_descuento_pct', 'unidades_min_rubro')}) from enriched",
+    f"""select * replace ({_amounts(*STAGED_AMOUNTS, 'gm_descuento_pct')},
+      cast(unidades_min_rubro as double) as unidades_min_rubro) from enriched""",
 )
 def _enrich(spark, sf_dir):
     dims = (_articles(spark, sf_dir), _rubros(spark, sf_dir), _brands(spark, sf_dir))

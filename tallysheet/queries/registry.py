@@ -24,11 +24,12 @@ def present(df: DataFrame) -> DataFrame:
         c = F.col(name)
         if not isinstance(dtype, DecimalType):
             return c
-        # Whole and fraction apart: without ANSI mode small decimals are written with an exponent.
-        whole = F.floor(F.abs(c))
-        fraction = ((F.abs(c) - whole) * F.lit(10**FRACTION).cast("decimal(13,0)")).cast("decimal(38,0)").cast("string")
-        text = F.concat(F.when(c < 0, "-").otherwise(""), whole.cast("string"), F.lit("."), F.lpad(fraction, FRACTION, "0"))
-        return text.alias(name)
+        # Whole and fraction apart: without ANSI mode small decimals are written with an exponent. The
+        # remainder keeps all digits, where a difference of wide decimals would be cut.
+        one, scale = F.lit(1).cast("decimal(1,0)"), F.lit(10**FRACTION).cast("decimal(13,0)")
+        fraction = ((F.abs(c) % one) * scale).cast("decimal(38,0)").cast("string")
+        whole = F.floor(F.abs(c)).cast("string")
+        return F.concat(F.when(c < 0, "-").otherwise(""), whole, F.lit("."), F.lpad(fraction, FRACTION, "0")).alias(name)
 
     return df.select([shown(f.name, f.dataType) for f in df.schema.fields])
 
