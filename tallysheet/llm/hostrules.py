@@ -6,8 +6,8 @@ rate is shrunk towards the corpus rate with a beta prior fitted to all hosts by
 ``trusted``, ``suspect`` or ``rejected`` by its shrunk rate, and that verdict comes back to its
 documents: suspect hosts are held to stricter limits, documents of rejected hosts go.
 
-Cases: null text has no words and fails the base rule. A null host is a host of its own. Repeated
-rows count each time. Empty tables give empty results. Columns of the input that have the name of a
+Cases: null text has no words and fails the base rule. Texts of any length are measured whole. A null host is a
+host of its own. Repeated rows count each time, ids are not looked at. Empty tables give empty results. Columns of the input that have the name of a
 column added here are replaced.
 """
 

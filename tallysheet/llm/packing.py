@@ -6,8 +6,10 @@ whatever the corpus size): dominance reduction fixes sets that are part of some
 best-fit decreasing places the rest. The plan says, for ranges of ranks within a length, which
 sequence and place a piece gets; ranks are given to the pieces by Spark without gathering a length.
 
-Cases: null and empty texts are one piece of the end token alone. Repeated rows are packed each for
-itself; ids may be null. An empty table gives no pieces.
+Cases: null and empty texts are one piece of the end token alone. Texts of any length are read whole and cut into
+pieces. Repeated rows are packed each for itself; ids may be null or repeated. Pieces of one length are
+interchangeable, so ties among them are broken by hash and place. An empty table gives no pieces. Other columns of
+the documents are ignored; columns of pieces that have the name of a column added here are replaced.
 """
 
 from __future__ import annotations

@@ -78,9 +78,21 @@ def test_cases(spark, make_docs):
     assert _run(spark, make_docs([]))[-1].collect() == []
 
 
+def test_clashing_columns_are_handed_on(spark, make_docs):
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(30)) + " a@b.example.com", "en", "a") for k in range(8)]
+    names = ["host", "kept", "class_id", "is_first", "n_links", "size", "copies", "target", "masked_text", "spans", "sequence_id", "odd `name` x"]
+    docs = make_docs(rows).selectExpr("*", *[f"{i} as `{n.replace('`', '``')}`" for i, n in enumerate(names)])
+    for name, stage in pipeline.STAGES[:-1]:
+        after = pipeline.stored(stage(spark, docs, SF), "test")
+        assert after.columns == docs.columns, name
+        assert {tuple(r)[5:] for r in after.collect()} == {tuple(range(len(names)))}, name
+        docs = after
+    assert pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count() > 0
+
+
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if re.match(rf"op{n}_", q)]) == 1
     assert set(entry.oracle_sql()) <= names
