@@ -319,6 +319,14 @@ def test_a_commit_that_was_not_published_is_completed(spark, catalog):
     assert rows(spark.table(name), "precio") == []
 
 
+def test_tables_with_similar_names_are_left_alone(spark, catalog):
+    name = catalog.raw("raw_price_history")
+    spark.sql(f"CREATE TABLE {name}__voided (a int) USING parquet")
+    replace_month(prices(spark, ("a", 1, 1.0)), name, "2024-01")
+    remove_replaced(spark, name)
+    assert rows(spark.table(name), "precio") == [(1.0,)] and spark.catalog.tableExists(f"{name}__voided")
+
+
 def test_plain_tables_are_not_taken_over(spark, catalog):
     name = catalog.raw("raw_plain")
     spark.sql(f"CREATE TABLE {name} (a int) USING parquet")
