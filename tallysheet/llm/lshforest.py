@@ -259,7 +259,8 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     row, column = row[chosen], number[column[chosen]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    total = np.zeros((n, n), np.float32)
+    # Each product is exact in float32, their sum in float64.
+    total = np.zeros((n, n))
     width = max(256, 4_000_000 // n)
     last = int(column[-1]) + 1 if len(column) else 0
     for at in range(0, last, width):
@@ -313,11 +314,15 @@ def compare(node, block, copies, sets, keys, tree: int, forest: Forest):
         for t in range(tree):
             link &= table[:, None, t] != table[None, :, t]
     linked = link.any(axis=1)
-    i, j = np.nonzero(link)
-    similarity = common[i, j] / (size[i] + size[j] - common[i, j])
+    near = np.zeros((len(node), BINS), np.int64)
     least = part / whole
-    at = np.clip(((similarity - least) / (1 - least) * BINS).astype(np.int64), 0, BINS - 1)
-    near = np.bincount(i * BINS + at, minlength=len(node) * BINS).reshape(-1, BINS)
+    # A few rows at a time: in a group of close copies every pair is a link.
+    for a in range(0, len(node), 64):
+        i, j = np.nonzero(link[a : a + 64])
+        both = common[a : a + 64][i, j]
+        similarity = both / (size[a + i] + size[j] - both)
+        at = np.clip(((similarity - least) / (1 - least) * BINS).astype(np.int64), 0, BINS - 1)
+        near[a : a + 64] = np.bincount(i * BINS + at, minlength=len(link[a : a + 64]) * BINS).reshape(-1, BINS)
     return node[linked], (link @ copies)[linked], node[_roots(link)][linked], near[linked]
 
 
