@@ -3,6 +3,7 @@
 from tallysheet.functions.columns import (
     blank_to_null,
     compose_timestamp,
+    discount_number,
     discount_percent,
     discount_text,
     fitted,
@@ -15,6 +16,7 @@ from tallysheet.functions.columns import (
 __all__ = [
     "blank_to_null",
     "compose_timestamp",
+    "discount_number",
     "discount_percent",
     "discount_text",
     "fitted",

@@ -14,6 +14,7 @@ from tallysheet.functions import (
     to_amount,
     to_whole,
 )
+from tallysheet.queries.registry import present
 
 
 @pytest.mark.parametrize(
@@ -79,3 +80,19 @@ def test_window_ends(spark):
 def test_month_key(spark):
     df = spark.sql("select timestamp_ntz'2024-03-31 23:59:59' as t")
     assert df.select(month_key("t")).first()[0] == "2024-03"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_decimals_are_shown_alike_in_both_modes(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        values = ["0", "-0.00000001", "0.00000012", "-12.5", "12345678901234.12345678", None]
+        df = spark.createDataFrame([(v,) for v in values], "t string").select(F.col("t").cast("decimal(22,8)").alias("v"))
+        assert [r.v for r in present(df).collect()] == [
+            "0.000000000000", "-0.000000010000", "0.000000120000", "-12.500000000000", "12345678901234.123456780000", None,
+        ]
+        # The remainder of each decimal is dear, and only needed where its text may have an exponent.
+        assert (" % " in present(df)._jdf.queryExecution().optimizedPlan().toString()) is (ansi == "false")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

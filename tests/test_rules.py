@@ -81,6 +81,17 @@ def test_malformed_rate_is_gm_without_rate(spark, clients, sellers):
     assert (row.es_venta_gm, row.gm_descuento_pct) == (True, None)
 
 
+def test_rates_are_read_once_for_each_client_and_stop_only_a_job_with_such_a_sale(spark, clients, sellers):
+    huge = clients.unionByName(spark.createDataFrame([client("huge", "", "(99999999999999999999) x")], CLIENT))
+    got = attach_accounts(sales_of(spark, "main", "bad"), huge, sellers)
+    assert {r.codigo_cliente: r.gm_descuento_pct for r in got.collect()} == {"main": Decimal("35.9"), "bad": None}
+    # Ahead of the join, not in the rows of the sales behind it.
+    behind = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "RLIKE" not in behind and "regexp_extract" not in behind
+    with pytest.raises(Exception, match="discount out of range: 99999999999999999999"):
+        attach_accounts(sales_of(spark, "huge"), huge, sellers).collect()
+
+
 @pytest.mark.parametrize("limit", [0, 64 << 20])
 def test_one_join_equals_two(spark, clients, sellers, limit):
     from tallysheet.config import Rules
