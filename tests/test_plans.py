@@ -7,7 +7,7 @@ from tallysheet.config import SALES_SOURCES, Rules
 from tallysheet.operators.asof import asof_join
 from tallysheet.operators.lookup import lookup, stored_bytes
 from tallysheet.operators.prices import price_at_sale
-from tallysheet.plans.fact import build_fact, register_models
+from tallysheet.plans.fact import build_fact, build_gathered, priced_with_accounts, register_models
 from tallysheet.queries import fixtures as fx
 from tallysheet.scratch import scratch_dir
 from tallysheet.sinks.tables import write_bucketed, write_mart
@@ -193,3 +193,34 @@ def test_a_bucketed_history_is_not_moved(spark, small_partitions):
         meeting = next(i for i, text in enumerate(above) if "Union" in text or "Join" in text)
         assert not any("Exchange" in text for text in above[: meeting]) and "Bucketed: true" in lines[at] + "".join(lines)
     assert bucketed.exceptAll(plain).count() == 0 == plain.exceptAll(bucketed).count()
+
+
+def test_account_columns_are_not_carried_through_the_shuffle_for_the_price(spark):
+    s = fx.staged_tables(spark, SF)
+    late = priced_with_accounts(s.sales, s.clients, s.sellers, s.price_history)
+    plan = late._jdf.queryExecution().optimizedPlan().toString()
+    # From the top: the join with the accounts comes before the one with the prices.
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "codigo_cliente" in joins[0] and "Inner" in joins[0]
+    early = priced_with_accounts(s.sales, s.clients, s.sellers, s.price_history, Rules(broadcast_bytes=0))
+    assert late.columns == early.columns
+    assert late.exceptAll(early).isEmpty() and early.exceptAll(late).isEmpty()
+
+
+def test_a_client_listed_twice_counts_twice_wherever_its_columns_are_attached(spark):
+    s = fx.staged_tables(spark, SF)
+    twice = s.clients.unionByName(s.clients.where("codigo_cliente = '1'"))
+    counts = [
+        priced_with_accounts(s.sales, twice, s.sellers, s.price_history, Rules(broadcast_bytes=b)).count() for b in (64 << 20, 0)
+    ]
+    assert counts[0] == counts[1] > priced_with_accounts(s.sales, s.clients, s.sellers, s.price_history).count()
+
+
+def test_fact_rows_are_gathered_by_month_ahead_of_the_columns_of_dimensions(spark):
+    s = fx.staged_tables(spark, SF)
+    narrow, gathered = build_gathered(s, fx.RULES)
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert gathered and plan.index("Join Inner") < plan.index("RebalancePartitions")
+    wide, no = build_gathered(s, Rules(excluded_articles=fx.EXCLUDED, broadcast_bytes=0))
+    assert not no and "RebalancePartitions" not in wide._jdf.queryExecution().optimizedPlan().toString()
+    assert narrow.exceptAll(wide).isEmpty() and wide.exceptAll(narrow).isEmpty()
