@@ -54,3 +54,10 @@ def test_lines_of_other_months_are_not_shuffled(spark):
     # Voided vouchers and other types are among the keys here, so some lines more; of all lines it is a small part.
     assert wanted <= kept <= 1.5 * wanted and kept < body.count() / 20
     assert len(SALES_SOURCES) == 4
+
+
+def test_the_hash_of_a_row_is_worked_out_once_for_its_word_and_once_for_each_bit(spark):
+    rows = spark.range(1000).select(F.col("id").alias("k"))
+    plan = may_match(rows, rows.where("k < 10"), ["k"])._jdf.queryExecution().analyzed().toString()
+    outer = next(line for line in plan.splitlines() if "Filter" in line)
+    assert outer.split("scalar-subquery")[-1].count("xxhash64") == 4
