@@ -10,7 +10,7 @@ from tallysheet.operators.prices import price_at_sale
 from tallysheet.plans.fact import build_fact, build_gathered, priced_with_accounts, register_models
 from tallysheet.queries import fixtures as fx
 from tallysheet.scratch import scratch_dir
-from tallysheet.sinks.tables import write_bucketed, write_mart
+from tallysheet.sinks.tables import bucket_count, write_bucketed, write_mart
 from tallysheet.sources.extract import Window, extract_sales
 
 SF = "/root/testdata/sf0.001"
@@ -224,3 +224,10 @@ def test_fact_rows_are_gathered_by_month_ahead_of_the_columns_of_dimensions(spar
     wide, no = build_gathered(s, Rules(excluded_articles=fx.EXCLUDED, broadcast_bytes=0))
     assert not no and "RebalancePartitions" not in wide._jdf.queryExecution().optimizedPlan().toString()
     assert narrow.exceptAll(wide).isEmpty() and wide.exceptAll(narrow).isEmpty()
+
+
+def test_buckets_grow_with_the_stored_tables(spark, tmp_path):
+    for n in (1_000, 100_000):
+        spark.range(n).write.parquet(str(tmp_path / str(n)))
+    small, large = (spark.read.parquet(str(tmp_path / str(n))) for n in (1_000, 100_000))
+    assert bucket_count(small, bytes_each=10_000) == 8 < bucket_count(large, bytes_each=10_000)
