@@ -175,3 +175,18 @@ def test_backward_price(spark):
     history = [("a", 9, day(1), 5), ("a", 9, day(20), 6)]
     got = priced(spark, [("S", 1, "FA", "a", day(10), 1)], history, direction="backward")
     assert got == {1: (Decimal(5), day(1), True)}
+
+
+def test_the_events_are_shuffled_once_for_both_uses(spark):
+    left, right = random_case(1)
+    left, right = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = asof_join(left, right, ["k"], "t", "ts", ["p"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    moved = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    # The events and what is carried over from other slices.
+    assert len([line for line in moved if "ReusedExchange" not in line]) == 2
+    assert len([line for line in moved if "ReusedExchange" in line]) == 1
