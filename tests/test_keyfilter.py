@@ -61,3 +61,24 @@ def test_the_hash_of_a_row_is_worked_out_once_for_its_word_and_once_for_each_bit
     plan = may_match(rows, rows.where("k < 10"), ["k"])._jdf.queryExecution().analyzed().toString()
     outer = next(line for line in plan.splitlines() if "Filter" in line)
     assert outer.split("scalar-subquery")[-1].count("xxhash64") == 4
+
+
+def test_a_table_nearly_full_is_not_asked(spark):
+    rows = spark.range(100_000).select(F.col("id").alias("k"))
+    # Some nine bits in ten are set.
+    assert may_match(rows, rows.where("k < 3200"), ["k"], words=64).count() == 100_000
+    assert may_match(rows, rows.where("k < 300"), ["k"], words=64).count() < 10_000
+
+
+def test_a_key_that_is_an_expression_is_worked_out_once(spark):
+    rows = spark.range(1000).selectExpr("concat('kind ', cast(id % 7 as string)) as kind", "id as num")
+    kept = may_match(rows, rows.where("num % 50 = 0"), ["kind", "num"])
+    asked = next(line for line in _plan(kept).splitlines() if "Filter" in line and "xxhash64" in line)
+    assert "concat" not in asked and kept.columns == rows.columns and kept.count() < 100
+
+
+def test_lines_are_joined_by_the_number_first(spark):
+    header, body = (fx.source(spark, SF, n) for n in ("src_header", "src_body"))
+    joined = extract_sales(header, body, rules=fx.RULES, keys=fx.ALL_SOURCES_KEY)
+    join = next(line for line in _plan(joined).splitlines() if "Join [" in line)
+    assert "numerocomprobante" in join.split("Join [")[1].split(",")[0]
