@@ -190,3 +190,25 @@ def test_the_events_are_shuffled_once_for_both_uses(spark):
     # The events and what is carried over from other slices.
     assert len([line for line in moved if "ReusedExchange" not in line]) == 2
     assert len([line for line in moved if "ReusedExchange" in line]) == 1
+
+
+def test_arrays_read_the_left_rows_through_one_shuffle_of_their_input(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moment = "if(id % 5 = 0, null, timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 9 as int)))"
+        heads = spark.range(40).selectExpr("id as n", f"{moment} as t")
+        lines = spark.range(300).selectExpr("id % 45 as n", "concat('a', cast(id % 7 as string)) as k").where("k is not null")
+        left = heads.join(lines, "n")
+        right = spark.range(60).selectExpr("concat('a', cast(id % 6 as string)) as k", "timestamp_ntz'2024-01-03 00:00:00' + make_interval(0, 0, 0, cast(id % 11 as int)) as u", "id as v")
+        found = asof_join_arrays(left, right, ["k"], "t", "u", ["v"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ReusedExchange") == 2
+        # The arrays are collected behind the shuffle of their rows, not ahead of it.
+        at = plan.index("partial_collect_list")
+        assert "REPARTITION_BY_COL" in plan[at:].splitlines()[1]
+        expected = asof_join(left, right, ["k"], "t", "u", ["v"])
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and found.where("t is null").count() > 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
