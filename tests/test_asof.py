@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallysheet.operators.asof import asof_join, asof_join_arrays
 from tallysheet.operators.prices import price_at_sale
+from tallysheet.schemas import RAW_SALES, conform
 from tests.conftest import rows
 
 LEFT = "id int, k string, t timestamp_ntz"
@@ -177,6 +179,51 @@ def test_backward_price(spark):
     assert got == {1: (Decimal(5), day(1), True)}
 
 
+def plan_of(spark, df):
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_a_value_that_nobody_reads_is_not_shuffled(spark):
+    left, right = random_case(1)
+    left, right = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    joined = asof_join(left, right, ["k"], "t", "ts", ["p"])
+    # The values are read and packed with their times if they are asked for.
+    assert "struct(_v0" in plan_of(spark, joined) and "min(p" in plan_of(spark, joined)
+    unread = plan_of(spark, joined.select("id", "k", "t", "matched_ts"))
+    assert "_v0" not in unread and "min(p" not in unread
+    assert sorted(map(str, joined.select("id", "matched_ts").collect())) == sorted(str(r) for r in joined.drop("p", "k", "t").collect())
+
+
+@pytest.mark.parametrize("direction", ["forward", "backward"])
+def test_an_instant_alone_in_its_slice_does_not_return_to_it(spark, direction):
+    # One instant in each slice of "a", all without a change there; "b" has two in one.
+    left = [(i, "a", T0 + timedelta(days=i, hours=5)) for i in range(1, 6)] + [(9 + i, "b", T0 + timedelta(days=3, hours=i)) for i in range(2)]
+    right = [("a", T0 + timedelta(days=d), None if d else 7.0) for d in (0, 9)] + [("b", T0 + timedelta(days=d), float(d)) for d in (0, 9)]
+    ours = spark.createDataFrame(left, LEFT)
+    joined = asof_join(ours, spark.createDataFrame(right, RIGHT), ["k"], "t", "ts", ["p"], direction=direction)
+    assert sorted(map(tuple, joined.collect())) == sorted(brute(left, right, direction == "forward", True))
+    plan = plan_of(spark, joined)
+    # Only slices with more than one instant send anything back, the others answer where the slices of a key are together.
+    returned = next(i for i, line in enumerate(plan.splitlines()) if "REPARTITION_BY_COL" in line and "_slice" in line and "> 1)" in "".join(plan.splitlines()[i + 1 : i + 3]))
+    assert "_asks" in plan.splitlines()[returned + 2] and re.search(r"\(_asks#\d+ = 1\)", plan)
+
+
+def test_uses_of_a_staged_table_share_their_shuffles(spark):
+    # A time that has its type already gets no second name, which some uses would keep and others not.
+    raw = spark.createDataFrame([], RAW_SALES)
+    assert "cast(" not in conform(raw, RAW_SALES)._jdf.queryExecution().logical().toString().lower()
+    other = raw.withColumn("codigo_cliente", F.lit(5))
+    assert conform(other, RAW_SALES).schema["codigo_cliente"].dataType == RAW_SALES["codigo_cliente"].dataType
+
+
 def test_the_events_are_shuffled_once_for_both_uses(spark):
     left, right = random_case(1)
     left, right = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
