@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallysheet.operators.asof import asof_join, asof_join_arrays
 from tallysheet.operators.prices import price_at_sale
+from tallysheet.queries import fixtures as fx
 from tallysheet.schemas import RAW_SALES, conform
 from tests.conftest import rows
 
@@ -259,3 +260,32 @@ def test_arrays_read_the_left_rows_through_one_shuffle_of_their_input(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("arrays", [False, True])
+def test_prices_brought_to_vouchers_are_those_of_the_join(spark, arrays):
+    rng = random.Random(5)
+    some = lambda *values: rng.choice([*values, None])
+    articles = ["a", "b", "c", "no history"]
+    sales = [(some("S", "T"), some(1, 1, 2, 3), some("FA", "FB"), some(*articles), some(day(1), day(4), day(8)), i) for i in range(400)]
+    history = [(some("a", "b", "c", "only history"), some(*map(Decimal, (1, 2))), some(*map(day, range(3, 7))), some(*map(Decimal, (5, 6, 7)))) for _ in range(30)]
+    frames = spark.createDataFrame(sales, SALE), spark.createDataFrame(history, HISTORY)
+    joined, brought = (price_at_sale(*frames, arrays=arrays, by_voucher=b) for b in (False, True))
+    assert brought.schema.names == joined.schema.names and brought.dtypes == joined.dtypes
+    assert sorted(map(str, brought.collect())) == sorted(map(str, joined.collect()))
+    assert len({r["precio_vigente_desde"] for r in brought.collect()}) > 2
+
+
+def test_sales_that_lie_by_voucher_stay_there(spark):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = fx.staged_tables(spark, "/root/testdata/sf0.001", by_voucher=True)
+        plan = plan_of(spark, price_at_sale(s.sales, s.price_history, by_voucher=True))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Headers and lines meet by the voucher; only what was worked out is brought there, and keys without a price go alone.
+    by_voucher = [line for line in plan.splitlines() if "Exchange hashpartitioning(numero_comprobante" in line and "Reused" not in line]
+    assert len(by_voucher) == 1 and "REPARTITION_BY_COL" in by_voucher[0] and "codigo_articulo" not in by_voucher[0]

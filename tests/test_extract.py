@@ -84,6 +84,17 @@ def test_reused_number_multiplies_lines(spark):
     assert got.count() == 4
 
 
+def test_lines_that_meet_by_the_whole_number_are_the_same(spark):
+    # Halves round to a neighbour that is a number too; lines out of range have no header.
+    numbers = [1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, -0.0, -0.5, 2.0**53]
+    heads = [head(n) for n in [*numbers, 0.0]]
+    lines = [line(n, a) for n in [*numbers, 7.0, float("nan"), float("inf"), -1e300] for a in "AB"]
+    data = vouchers(spark, heads, lines)
+    plain, whole = (extract_sales(*data, SALES_SOURCES[0], by_whole=b) for b in (False, True))
+    assert rows(whole, "numero_comprobante", "codigo_articulo") == rows(plain, "numero_comprobante", "codigo_articulo")
+    assert plain.count() == 22 and whole.schema == plain.schema
+
+
 def test_four_sources_from_catalog_tables(spark):
     for i, s in enumerate(SALES_SOURCES):
         header, body = vouchers(spark, [head(i)], [line(i, "A")])

@@ -145,6 +145,12 @@ def test_latest_by(spark):
     assert rows(latest_by(df, ["k"], "t", ["v"])) == [("a", t[1], 3.0), ("b", None, 9.0), ("c", t[0], None)]
 
 
+def test_the_latest_of_distinct_rows_needs_no_distinct(spark):
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1), 1.0)] * 3, "k string, t timestamp_ntz, v double")
+    plan = latest_by(df.distinct(), ["k"], "t", ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
 PRICED = (
     "es_venta_gm boolean, es_cuenta_secundaria boolean, gm_descuento_pct decimal(9,4),"
     " precio_proveedor_vigente decimal(18,4), cantidad_articulo decimal(18,4), precio_total_articulo decimal(18,4),"
